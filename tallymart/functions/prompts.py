@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 
-# Fixed value: the white space that separates words, Unicode spaces and the four separators included.
-_SPACES = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORD_GAP = f"[{_SPACES}]+"
-WORD_CHAR = f"[^{_SPACES}]"
+# Fixed value: the white space that separates words is Unicode white space plus the four separators.
+WORD_GAP = r"(?U)[\s\x1c-\x1f]+"
+WORD_CHAR = r"(?U)[^\s\x1c-\x1f]"
 
 
 def preview(prompt: Column) -> Column:

@@ -83,11 +83,12 @@ def drop_empty_prompts(df: DataFrame, prompt: str = "prompt") -> DataFrame:
 def route(df: DataFrame, prompt: str = "prompt", model: str = "model") -> DataFrame:
     """Set ``model`` to the model chosen for each prompt.
 
-    Lower-casing happens in its own projection, once per row, before the keyword tests read it.
+    The text is lower-cased and its words counted once per row, in projections of their own, before
+    the rules read them several times.
     """
-    lowered = df.withColumn("_lowered", F.lower(prompt))
-    chosen = prompts.choose_model(F.col("_lowered"), prompts.word_count(F.col("_lowered")))
-    return lowered.withColumn(model, chosen).drop("_lowered")
+    read = df.withColumn("_lowered", F.lower(prompt)).withColumn("_words", prompts.word_count(F.col("_lowered")))
+    chosen = prompts.choose_model(F.col("_lowered"), F.col("_words"))
+    return read.withColumn(model, chosen).drop("_lowered", "_words")
 
 
 def routed_events(log: DataFrame, rates: DataFrame) -> DataFrame:

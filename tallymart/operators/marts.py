@@ -1,6 +1,6 @@
 """Marts: one grouped aggregation each, map-side combined, one shuffle on the grouping keys.
 
-All measures merge associatively (counts, decimal sums, extremes), so a key holding a large share
+All measures merge associatively (counts, integer sums, extremes), so a key holding a large share
 of the rows is reduced to one partial row per input partition before it is shuffled. Exact distinct
 counts are spread over the counted value first for the same reason.
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.numeric import (
-    AMOUNT_SCALE, USD_SCALE, exact, exact_avg, exact_sum, rounded_ratio, rounded_total, sql_round, whole_avg,
+    USD_SCALE, exact_avg, exact_sum, rounded_ratio, rounded_total, sql_round, to_units, whole_avg,
 )
 from .staging import latency_class
 
@@ -102,9 +102,9 @@ def mart_customer_segments(customers: DataFrame, orders: DataFrame) -> DataFrame
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("orders"),
-            F.sum(exact(F.col("revenue_eur"))).alias("revenue"),
+            F.sum(to_units(F.col("revenue_eur"))).alias("revenue"),
             F.count("revenue_eur").alias("revenue_values"),
-            F.sum(exact(F.col("profit_eur"))).alias("profit"),
+            F.sum(to_units(F.col("profit_eur"))).alias("profit"),
         )
     )
     sums = [F.sum(name).alias(name) for name in ("orders", "revenue", "revenue_values", "profit")]
@@ -120,8 +120,8 @@ def mart_customer_segments(customers: DataFrame, orders: DataFrame) -> DataFrame
         F.col("orders").alias("total_orders"),
         rounded_total(revenue, 2).alias("total_revenue_eur"),
         rounded_total(F.col("profit"), 2).alias("total_profit_eur"),
-        rounded_ratio(revenue, F.col("revenue_values"), AMOUNT_SCALE, 2).alias("avg_order_value_eur"),
-        rounded_ratio(revenue, F.col("total_customers"), AMOUNT_SCALE, 2).alias("revenue_per_customer_eur"),
+        rounded_ratio(revenue, F.col("revenue_values"), 2).alias("avg_order_value_eur"),
+        rounded_ratio(revenue, F.col("total_customers"), 2).alias("revenue_per_customer_eur"),
     )
 
 
@@ -230,7 +230,7 @@ def mart_latency_analysis(logs: DataFrame) -> DataFrame:
 def mart_model_comparison(logs: DataFrame) -> DataFrame:
     """Cost, latency and token efficiency per model."""
     mean_latency = F.avg("latency_ms")
-    cost_units = (F.sum(exact(F.col("cost_usd"), USD_SCALE)) * F.lit(10**USD_SCALE)).cast("double")
+    cost_units = F.sum(to_units(F.col("cost_usd"), USD_SCALE))
     return logs.groupBy("model").agg(
         F.count("*").alias("total_requests"),
         _usd(6).alias("total_cost_usd"),
@@ -243,7 +243,7 @@ def mart_model_comparison(logs: DataFrame) -> DataFrame:
         whole_avg(F.col("total_tokens")).alias("avg_tokens"),
         F.sum("total_tokens").alias("total_tokens"),
         F.round(
-            F.sum("total_tokens") * F.lit(float(10**USD_SCALE)) / F.nullif(cost_units, F.lit(0.0)), 0
+            F.sum("total_tokens") * F.lit(float(10**USD_SCALE)) / F.nullif(cost_units, F.lit(0)), 0
         ).alias("tokens_per_dollar"),
         latency_class(mean_latency, C.MODEL_FAST_BELOW_MS).alias("speed_category"),
     )

@@ -198,8 +198,9 @@ def json_encode_events(spark: SparkSession, path: str) -> DataFrame:
     """Routed events encoded with their key; the value is shown through its own JSON fields."""
     encoded = events.encode_events(routed_events(spark, path))
     names = ["timestamp", "user_id", "model", "model_strength", "prompt", "total_tokens", "routed_by"]
-    shown = [F.get_json_object("value", f"$.{name}").alias(f"json_{name}") for name in names]
-    return encoded.select("key", F.size(F.json_object_keys("value")).alias("n_fields"), *shown)
+    n_fields = F.size(F.json_object_keys("value")).alias("n_fields")
+    shown = encoded.select("key", n_fields, F.json_tuple("value", *names))
+    return shown.toDF("key", "n_fields", *[f"json_{name}" for name in names])
 
 
 @query

@@ -82,7 +82,12 @@ def order_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, path: str) -> DataFrame:
-    """Order rows: order heads meet their customer first, so the long table is shuffled last."""
+    """Order rows. The lines meet their parts while the order heads meet their customers.
+
+    Both results are then joined on the order key, so the long table is shuffled once per key it
+    is looked up by and never with the customer attributes on board. Small sides are broadcast,
+    and oversized partitions split, from the sizes AQE measures.
+    """
     nation = table(spark, path, "nation").select("n_nationkey", "n_name")
     buyers = (
         table(spark, path, "customer")
@@ -97,8 +102,8 @@ def orders(spark: SparkSession, path: str) -> DataFrame:
     parts = table(spark, path, "part").select("p_partkey", "p_type", "p_brand", "p_retailprice")
     joined = (
         table(spark, path, "lineitem")
-        .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     total = F.col("l_extendedprice")
     cost = sql_round(F.col("l_quantity") * F.col("p_retailprice") * F.lit(0.55), 2)
@@ -213,14 +218,14 @@ def llm_logs_kafka(spark: SparkSession, path: str) -> DataFrame:
     prompts = table(spark, path, "benchmark").select("item_id", "text")
     turn = F.col("event_id") % prompts.agg(F.count("*")).scalar()
     kind, event, value = F.col("event_type"), F.col("event_id"), F.col("value")
-    input_tokens = F.get_json_object("props", "$.k").cast("int")
-    output_tokens = (event % 997).cast("int")
+    input_tokens, output_tokens = F.col("input_tokens"), (event % 997).cast("int")
     delay = F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), ((event % 5000 * 1000 + 500) / F.lit(1e6)).cast("decimal(18,6)")
     )
     return (
         table(spark, path, "events")
         .withColumn("item_id", turn)
+        .withColumn("input_tokens", F.get_json_object("props", "$.k").cast("int"))
         .join(prompts, "item_id")
         .select(
             F.col("ts").alias("timestamp"),

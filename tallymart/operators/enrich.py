@@ -80,15 +80,17 @@ def drop_empty_prompts(df: DataFrame, prompt: str = "prompt") -> DataFrame:
     return df.filter(prompts.has_text(F.col(prompt)))
 
 
-def route(df: DataFrame, prompt: str = "prompt", model: str = "model") -> DataFrame:
-    """Set ``model`` to the model chosen for each prompt.
+def route(df: DataFrame, prompt: str = "prompt", model: str = "model", words: str | None = None) -> DataFrame:
+    """Set ``model`` to the model chosen for each prompt, and ``words`` to its word count if named.
 
     The text is lower-cased and its words counted once per row, in projections of their own, before
     the rules read them several times.
     """
     read = df.withColumn("_lowered", F.lower(prompt)).withColumn("_words", prompts.word_count(F.col("_lowered")))
     chosen = prompts.choose_model(F.col("_lowered"), F.col("_words"))
-    return read.withColumn(model, chosen).drop("_lowered", "_words")
+    kept = [F.col("_words").alias(words)] if words else []
+    rest = [name for name in df.columns if name != model]
+    return read.select(*rest, chosen.alias(model), *kept)
 
 
 def routed_events(log: DataFrame, rates: DataFrame) -> DataFrame:

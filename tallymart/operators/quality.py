@@ -92,39 +92,47 @@ def _outside(column: str, values: list[str]) -> Column:
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULLs per column, all columns counted in one pass."""
     counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
-    return _as_rows(counts, [(name, F.lit(name), F.col(name)) for name in columns], "column_name", "failures")
+    return _as_rows(counts, [(F.lit(name), F.col(name)) for name in columns], "column_name", "failures")
 
 
 def _as_rows(one_row: DataFrame, entries: list[tuple], *names: str) -> DataFrame:
-    structs = [F.struct(*[c.alias(n) for c, n in zip(entry[1:], names)]) for entry in entries]
+    structs = [F.struct(*[c.alias(n) for c, n in zip(entry, names)]) for entry in entries]
     return one_row.select(F.inline(F.array(*structs)))
 
 
 def check_relation(df: DataFrame, relation: str, checks: Checks) -> DataFrame:
-    """(relation, column_name, test, failures) for every check of one relation.
+    """(relation, column_name, test, failures) for every check of one relation, in one scan.
 
-    All not-null and accepted-value checks share one scan; each unique check groups by its column.
+    Each row yields one finding per check it has something to say about: its key for ``unique``,
+    and only if it fails for the other two. Findings are counted per value, combined map-side, so a
+    value in a third of the rows is one finding per input partition, and then summed up per check.
     ``failures`` counts failing rows for not_null and distinct failing values for the other two.
     """
-    measures, entries = [], []
+    findings, measures, entries = [], [], []
+
+    def add(column: str, test: str, reported: Column, value: Column, failures: Callable[[Column], Column]) -> None:
+        number = len(entries)
+        findings.append(F.when(reported, F.struct(F.lit(number).alias("check"), value.alias("value"))))
+        measures.append(failures(F.col("check") == number).alias(f"check_{number}"))
+        entries.append((F.lit(column), F.lit(test), F.col(f"check_{number}")))
+
+    nothing = F.lit(None).cast("string")
+    for name in checks.unique:
+        add(name, "unique", F.col(name).isNotNull(), F.col(name).cast("string"),
+            lambda own: F.count_if(own & (F.col("n_records") > 1)))
     for name in checks.not_null:
-        measures.append(F.count_if(F.col(name).isNull()).alias(f"null_{name}"))
-        entries.append((name, F.lit(name), F.lit("not_null"), F.col(f"null_{name}")))
+        add(name, "not_null", F.col(name).isNull(), nothing,
+            lambda own: F.coalesce(F.sum(F.when(own, F.col("n_records"))), F.lit(0)))
     for name, values in checks.accepted.items():
-        bad = F.when(_outside(name, values), F.col(name))
-        measures.append(F.count_distinct(bad).alias(f"bad_{name}"))
-        entries.append((name, F.lit(name), F.lit("accepted_values"), F.col(f"bad_{name}")))
+        add(name, "accepted_values", _outside(name, values), F.col(name).cast("string"), F.count_if)
 
-    parts = []
-    if measures:
-        parts.append(_as_rows(df.agg(*measures), entries, "column_name", "test", "failures"))
-    for name in checks.unique:
-        parts.append(
-            duplicates(df, name).agg(
-                F.lit(name).alias("column_name"), F.lit("unique").alias("test"), F.count("*").alias("failures")
-            )
-        )
-    return reduce(DataFrame.unionByName, parts).select(F.lit(relation).alias("relation"), "*")
+    counted = (
+        df.select(F.inline(F.array_compact(F.array(*findings))))
+        .groupBy("check", "value")
+        .agg(F.count("*").alias("n_records"))
+    )
+    summary = _as_rows(counted.agg(*measures), entries, "column_name", "test", "failures")
+    return summary.select(F.lit(relation).alias("relation"), "*")
 
 
 def report(relations: Callable[[str], DataFrame], domains: list[str] | None = None) -> DataFrame:

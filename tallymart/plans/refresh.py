@@ -40,6 +40,10 @@ MARTS: dict[str, dict[str, Model]] = {
     },
 }
 
+MODELS: dict[str, Model] = {
+    name: model for layer in (STAGING, MARTS) for models in layer.values() for name, model in models.items()
+}
+
 # marts stored in one folder per date; the others are clustered by their presentation order
 PARTITIONED_BY = {
     "mart_energy_daily": "reading_date",
@@ -52,13 +56,12 @@ class QualityError(Exception):
     """A declared check found failing rows."""
 
 
-def compose(domain: str, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All relations of a domain as lazy DataFrames over its raw tables."""
-    relations = dict(raw)
-    for models in (STAGING[domain], MARTS[domain]):
-        for name, (build, inputs) in models.items():
-            relations[name] = build(*[relations[i] for i in inputs])
-    return relations
+def relation(name: str, raw: Callable[[str], DataFrame], built: dict[str, DataFrame]) -> DataFrame:
+    """A raw table, staging relation or mart by name, lazily composed from what it reads."""
+    if name not in built:
+        build, inputs = MODELS.get(name, (None, []))
+        built[name] = build(*[relation(i, raw, built) for i in inputs]) if build else raw(name)
+    return built[name]
 
 
 def write_mart(warehouse: Warehouse, name: str, mart: DataFrame) -> DataFrame:
@@ -92,11 +95,11 @@ def refresh(
     if load:
         warehouse.load(domain, raw)
         raw = {name: warehouse.read(f"raw_{domain}", name) for name in raw}
-    relations = compose(domain, raw)
+    relations = dict(raw)
     for name in STAGING[domain]:
-        relations[name].createOrReplaceTempView(name)
+        relation(name, raw.__getitem__, relations).createOrReplaceTempView(name)
     for name in MARTS[domain]:
-        relations[name] = write_mart(warehouse, name, relations[name])
+        relations[name] = write_mart(warehouse, name, relation(name, raw.__getitem__, relations))
 
     row = ["relation", "column_name", "measure", "value"]
     no_column = F.lit(None).cast("string")

@@ -30,35 +30,31 @@ def query(build: Query) -> Query:
     return build
 
 
-def _register_relations() -> None:
-    """One query per staging relation and mart, composed from the raw tables."""
+def relations(spark: SparkSession, path: str) -> Callable[[str], DataFrame]:
+    """Any raw table, staging relation or mart over the test tables, built when it is asked for."""
+    built: dict[str, DataFrame] = {}
+    return lambda name: refresh.relation(name, lambda raw: adapters.RAW[raw](spark, path), built)
 
-    def relation(domain: str, name: str) -> None:
+
+def _register_models() -> None:
+    """One query per staging relation and mart."""
+
+    def register(name: str) -> None:
         def build(spark: SparkSession, path: str) -> DataFrame:
-            return relations(spark, path, domain)[name]
+            return relations(spark, path)(name)
 
         build.__name__ = name
         query(build)
 
-    for models in (refresh.STAGING, refresh.MARTS):
-        for domain in models:
-            for name in models[domain]:
-                relation(domain, name)
-
-
-def relations(spark: SparkSession, path: str, domain: str) -> dict[str, DataFrame]:
-    return refresh.compose(domain, adapters.raw_tables(spark, path, domain))
-
-
-def staged_logs(spark: SparkSession, path: str) -> DataFrame:
-    return relations(spark, path, "requests")["stg_llm_logs"]
+    for name in refresh.MODELS:
+        register(name)
 
 
 def warehouse(spark: SparkSession, label: str) -> Warehouse:
     return Warehouse(spark, scratch_dir(spark, label), f"{label}_{uuid.uuid4().hex[:8]}_")
 
 
-_register_relations()
+_register_models()
 
 
 # --- ad-hoc reports ---------------------------------------------------------------
@@ -66,7 +62,7 @@ _register_relations()
 
 @query
 def presentation_sort(spark: SparkSession, path: str) -> DataFrame:
-    return marts.present(relations(spark, path, "ecommerce")["mart_revenue_daily"], "mart_revenue_daily")
+    return marts.present(relations(spark, path)("mart_revenue_daily"), "mart_revenue_daily")
 
 
 @query
@@ -82,14 +78,14 @@ def weather_city_7d(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def cost_anomaly(spark: SparkSession, path: str) -> DataFrame:
-    logs = staged_logs(spark, path)
+    logs = relations(spark, path)("stg_llm_logs")
     latest = adapters.table(spark, path, "events").agg(F.max("ts")).scalar()
     return anomaly.cost_anomaly(logs, as_of=latest)
 
 
 @query
 def top_cost_user(spark: SparkSession, path: str) -> DataFrame:
-    return anomaly.top_cost_user(staged_logs(spark, path))
+    return anomaly.top_cost_user(relations(spark, path)("stg_llm_logs"))
 
 
 @query
@@ -99,10 +95,7 @@ def llm_log_totals(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def load_counts(spark: SparkSession, path: str) -> DataFrame:
-    tables = {}
-    for domain in adapters.BY_DOMAIN:
-        tables.update(adapters.raw_tables(spark, path, domain))
-    return marts.load_counts(tables)
+    return marts.load_counts({name: build(spark, path) for name, build in adapters.RAW.items()})
 
 
 # --- enrichment -------------------------------------------------------------------
@@ -117,7 +110,7 @@ def order_line_enrich(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def energy_expected_load(spark: SparkSession, path: str) -> DataFrame:
-    staged = relations(spark, path, "energy")["stg_meter_readings"]
+    staged = relations(spark, path)("stg_meter_readings")
     return enrich.expected_load(staged, dimensions.base_loads(spark))
 
 
@@ -154,7 +147,7 @@ def llm_cost_flat(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def llm_transport_lag(spark: SparkSession, path: str) -> DataFrame:
-    return marts.transport_lag(staged_logs(spark, path))
+    return marts.transport_lag(relations(spark, path)("stg_llm_logs"))
 
 
 # --- prompts ----------------------------------------------------------------------
@@ -174,9 +167,8 @@ def prompt_filter(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def route_prompts(spark: SparkSession, path: str) -> DataFrame:
-    return enrich.route(adapters.prompts(spark, path)).select(
-        "source", "prompt_id", prompts.word_count(F.col("prompt")).alias("words"), "model"
-    )
+    routed = enrich.route(adapters.prompts(spark, path), words="words")
+    return routed.select("source", "prompt_id", "words", "model")
 
 
 @query
@@ -268,7 +260,7 @@ def load_append(spark: SparkSession, path: str) -> DataFrame:
 @query
 def mart_roundtrip(spark: SparkSession, path: str) -> DataFrame:
     """A mart written to its table, one folder per date, and read back."""
-    mart = relations(spark, path, "energy")["mart_energy_daily"]
+    mart = relations(spark, path)("mart_energy_daily")
     return refresh.write_mart(warehouse(spark, "roundtrip"), "mart_energy_daily", mart)
 
 
@@ -277,7 +269,7 @@ def stream_ingest(spark: SparkSession, path: str) -> DataFrame:
     """The request log sent as JSON files, ingested by the stream and read back from its log."""
     base = scratch_dir(spark, "stream")
     log = adapters.llm_logs_kafka(spark, path).select(*REQUEST_LOG.names)
-    events.write_events(events.encode_events(log).repartition(8), f"{base}/landing")
+    events.write_events(events.encode_events(log), f"{base}/landing")
     for _ in range(2):  # the second run finds nothing new
         source = events.file_source(spark, f"{base}/landing")
         ingest(source, f"{base}/log", f"{base}/checkpoint").awaitTermination()
@@ -304,8 +296,8 @@ def refresh_report(spark: SparkSession, path: str) -> DataFrame:
 @query
 def dq_unique(spark: SparkSession, path: str) -> DataFrame:
     """Duplicated keys of the orders and readings."""
-    orders = relations(spark, path, "ecommerce")["stg_orders"]
-    readings = relations(spark, path, "energy")["stg_meter_readings"]
+    orders = relations(spark, path)("stg_orders")
+    readings = relations(spark, path)("stg_meter_readings")
     found = quality.duplicates(orders, "order_id").select(F.lit("order_id").alias("key_column"), "*")
     return found.unionByName(
         quality.duplicates(readings, "reading_id").select(F.lit("reading_id").alias("key_column"), "*")
@@ -314,21 +306,18 @@ def dq_unique(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def dq_not_null(spark: SparkSession, path: str) -> DataFrame:
-    staged = relations(spark, path, "requests")["stg_llm_logs"]
+    staged = relations(spark, path)("stg_llm_logs")
     return quality.null_counts(staged, staged.columns)
 
 
 @query
 def dq_accepted_values(spark: SparkSession, path: str) -> DataFrame:
     """Customer segments outside the accepted list."""
-    staged = relations(spark, path, "ecommerce")["stg_customers"]
+    staged = relations(spark, path)("stg_customers")
     accepted = quality.SUITE["ecommerce"]["stg_customers"].accepted["segment"]
     return quality.unaccepted(staged, "segment", accepted)
 
 
 @query
 def dq_report(spark: SparkSession, path: str) -> DataFrame:
-    known: dict[str, DataFrame] = {}
-    for domain in adapters.BY_DOMAIN:
-        known.update(relations(spark, path, domain))
-    return quality.report(known.__getitem__)
+    return quality.report(relations(spark, path))

@@ -16,9 +16,25 @@ from .events import ISO_MICROS
 
 READINGS_PER_PAYLOAD = 24
 
+# declared, so that opening a table needs no job to infer its schema
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "benchmark": "item_id bigint, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{path}/{name}.parquet")
 
 
 def _pick(rows: list[tuple], position: int, index: Column) -> Column:
@@ -270,5 +286,8 @@ BY_DOMAIN = {
 }
 
 
+RAW = {name: build for tables in BY_DOMAIN.values() for name, build in tables.items()}
+
+
 def raw_tables(spark: SparkSession, path: str, domain: str) -> dict[str, DataFrame]:
     return {name: build(spark, path) for name, build in BY_DOMAIN[domain].items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -44,11 +45,12 @@ MODELS: dict[str, Model] = {
     name: model for layer in (STAGING, MARTS) for models in layer.values() for name, model in models.items()
 }
 
-# marts stored in one folder per date; the others are clustered by their presentation order
+# marts stored in one folder per date, and the raw column that date comes from; the other marts are
+# clustered by their presentation order
 PARTITIONED_BY = {
-    "mart_energy_daily": "reading_date",
-    "mart_weather_daily": "reading_date",
-    "mart_hourly_activity": "request_date",
+    "mart_energy_daily": ("reading_date", "timestamp"),
+    "mart_weather_daily": ("reading_date", "date"),
+    "mart_hourly_activity": ("request_date", "timestamp"),
 }
 
 
@@ -72,8 +74,8 @@ def write_mart(warehouse: Warehouse, name: str, mart: DataFrame) -> DataFrame:
     ties broken by the remaining columns, so that an equal sort key does not pile up in one task
     and file statistics prune scans on the leading key.
     """
-    folder = PARTITIONED_BY.get(name)
-    if folder:
+    if name in PARTITIONED_BY:
+        folder, _ = PARTITIONED_BY[name]
         rows, layout = mart.hint("rebalance", folder), [folder]
     else:
         order = marts.sort_columns(name)
@@ -84,12 +86,31 @@ def write_mart(warehouse: Warehouse, name: str, mart: DataFrame) -> DataFrame:
     return warehouse.read("marts", name).select(*mart.columns)
 
 
+def update_mart(warehouse: Warehouse, name: str, raw: dict[str, DataFrame], since: date) -> DataFrame:
+    """Rebuild the dates from ``since`` on of a mart with date folders, leaving earlier folders as they are.
+
+    The raw rows are cut by their own time column, so the scan reads recent files and row groups only.
+    """
+    folder, moment = PARTITIONED_BY[name]
+    recent = {table: rows.filter(F.col(moment) >= F.lit(since)) for table, rows in raw.items()}
+    mart = relation(name, recent.__getitem__, {})
+    warehouse.replace_folders("marts", name, mart.hint("rebalance", folder), [folder])
+    return warehouse.read("marts", name).select(*mart.columns)
+
+
 def refresh(
-    warehouse: Warehouse, domain: str, raw: dict[str, DataFrame], load: bool = True, strict: bool = False
+    warehouse: Warehouse,
+    domain: str,
+    raw: dict[str, DataFrame],
+    load: bool = True,
+    strict: bool = False,
+    since: date | None = None,
 ) -> DataFrame:
     """Rebuild a domain and report it: (domain, relation, column_name, measure, value).
 
-    ``load=False`` takes ``raw`` as it stands, for a log that a stream keeps appending to.
+    ``load=False`` takes ``raw`` as it stands, for a log that a stream keeps appending to. With
+    ``since``, the first date that gained rows, marts with date folders are rebuilt from that date
+    on only; the others summarise all dates and are rebuilt in full.
     ``strict`` raises :class:`QualityError` when a check fails, after the marts are written.
     """
     if load:
@@ -99,6 +120,9 @@ def refresh(
     for name in STAGING[domain]:
         relation(name, raw.__getitem__, relations).createOrReplaceTempView(name)
     for name in MARTS[domain]:
+        if since and name in PARTITIONED_BY:
+            relations[name] = update_mart(warehouse, name, raw, since)
+            continue
         relations[name] = write_mart(warehouse, name, relation(name, raw.__getitem__, relations))
 
     row = ["relation", "column_name", "measure", "value"]

@@ -240,6 +240,8 @@ def load_replace(spark: SparkSession, path: str) -> DataFrame:
     raw = adapters.raw_tables(spark, path, "ecommerce")
     store.load("ecommerce", raw)
     store.load("ecommerce", raw)
+    for name in raw:
+        store.drop_superseded("raw_ecommerce", name)
     return marts.load_counts({name: store.read("raw_ecommerce", name) for name in raw})
 
 

@@ -64,10 +64,21 @@ class Warehouse:
         if partition_by:
             self.spark.catalog.recoverPartitions(name)
 
+    def location(self, layer: str, table: str) -> str:
+        facts = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)}")
+        return facts.filter("col_name = 'Location'").first()["data_type"]
+
+    def replace_folders(self, layer: str, table: str, rows: DataFrame, partition_by: list[str]) -> None:
+        """Replace only the partition folders of a table that ``rows`` has rows for."""
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).parquet(self.location(layer, table))
+        name = self.name(layer, table)
+        self.spark.catalog.recoverPartitions(name)
+        self.spark.catalog.refreshTable(name)
+
     def drop_superseded(self, layer: str, table: str) -> None:
         """Delete the folders of earlier contents of a replaced table, once no reader needs them."""
-        current = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)}")
-        keep = current.filter("col_name = 'Location'").first()["data_type"].rsplit("/", 1)[-1]
+        keep = self.location(layer, table).rsplit("/", 1)[-1]
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}")
         files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -84,6 +84,27 @@ def test_refresh_of_a_growing_log_is_not_reloaded(store, spark, tmp_path, logs):
     assert "llm_logs_kafka" not in [t.name for t in spark.catalog.listTables(store.database("raw_requests"))]
 
 
+def test_recent_dates_are_rebuilt_alone(store, logs):
+    first = logs(*[{"timestamp": datetime(2024, 1, d)} for d in (1, 2, 3)])
+    refresh.refresh(store, "requests", {"llm_logs_kafka": first}, load=False)
+    later = first.unionByName(logs({"timestamp": datetime(2024, 1, 3, 5)}, {"timestamp": datetime(2024, 1, 4)}))
+    # a first day changed behind the mart's back shows that its folder is left alone
+    later = later.filter("timestamp > '2024-01-01'")
+    since = datetime(2024, 1, 3).date()
+    report = refresh.refresh(store, "requests", {"llm_logs_kafka": later}, load=False, since=since)
+    rows = {(r.relation, r.measure): r.value for r in report.collect() if r.measure == "rows"}
+    assert rows[("mart_hourly_activity", "rows")] == 5 and rows[("mart_cost_per_user", "rows")] == 1
+    hours = {(str(r.request_date), r.request_hour) for r in store.read("marts", "mart_hourly_activity").collect()}
+    assert hours == {("2024-01-01", 0), ("2024-01-02", 0), ("2024-01-03", 0), ("2024-01-03", 5), ("2024-01-04", 0)}
+    assert store.read("marts", "mart_cost_per_user").first().total_requests == 4
+
+
+def test_recent_rows_are_cut_in_the_scan(spark, tmp_path, logs):
+    logs({}).write.parquet(str(tmp_path / "log"))
+    raw = spark.read.parquet(str(tmp_path / "log")).filter(F.col("timestamp") >= F.lit(datetime(2024, 1, 3).date()))
+    assert "GreaterThanOrEqual(timestamp" in raw._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mart_layouts_keep_every_row(store, spark, orders, logs):
     """Both layouts, with one date holding a third of the rows."""
     many = orders(*[

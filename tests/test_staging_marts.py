@@ -127,6 +127,13 @@ def test_trailing_days(spark):
     assert marts.weather_city_7d(raw).count() == 0  # all long before today
 
 
+def test_trailing_days_reach_the_scan(spark, tmp_path):
+    columns = "city string, date date, temperature_c double, humidity_pct double, precipitation_mm double"
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "w"))
+    mart = marts.weather_city_7d(spark.read.schema(columns).parquet(str(tmp_path / "w")), as_of=F.lit(date(2024, 1, 9)))
+    assert "GreaterThanOrEqual(date,2024-01-02)" in mart._jdf.queryExecution().executedPlan().toString()
+
+
 def _costs(logs, *pairs):
     hour = {"now": datetime(2024, 1, 1, 12), "hour": datetime(2024, 1, 1, 11), "old": datetime(2023, 1, 1)}
     rows = [{"model": "x", "timestamp": hour[when], "cost_usd": cost} for when, cost in pairs]

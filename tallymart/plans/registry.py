@@ -167,13 +167,13 @@ def prompt_filter(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def route_prompts(spark: SparkSession, path: str) -> DataFrame:
-    routed = enrich.route(adapters.prompts(spark, path), words="words")
+    routed = enrich.route(adapters.spread(adapters.prompts(spark, path)), words="words")
     return routed.select("source", "prompt_id", "words", "model")
 
 
 @query
 def routed_events(spark: SparkSession, path: str) -> DataFrame:
-    log = adapters.llm_logs_kafka(spark, path).select(*REQUEST_LOG.names)
+    log = adapters.llm_logs_kafka(spark, path, heavy=True).select(*REQUEST_LOG.names)
     return enrich.routed_events(log, dimensions.model_rates(spark))
 
 

@@ -95,6 +95,9 @@ class Recorder:
     def load(self):
         return self.result
 
+    def save(self):
+        self.calls["saved"] = True
+
 
 def test_kafka_options(spark):
     messages = spark.createDataFrame(
@@ -109,6 +112,14 @@ def test_kafka_options(spark):
     }
 
 
+def test_kafka_sink_options():
+    writer = Recorder(None)
+    events.kafka_sink(type("Frame", (), {"write": writer})(), "broker:9092")
+    assert writer.calls == {
+        "format": "kafka", "kafka.bootstrap.servers": "broker:9092", "topic": "llm_events", "saved": True,
+    }
+
+
 def payload(**hourly):
     arrays = dict(
         time=["2024-01-01T00:00", "2024-01-01T13:00"], temperature_2m=[1.5, 2.5], relative_humidity_2m=[50, 60],

@@ -36,6 +36,20 @@ def test_each_event_is_ingested_once(spark, tmp_path):
     assert rejected.rejected_value == "broken" and rejected.source.endswith("2.json")
 
 
+def test_continuous_ingestion(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "1.json").write_text(json.dumps(event()))
+    source = events.file_source(spark, str(landing))
+    query = ingest(source, f"{tmp_path}/log", f"{tmp_path}/checkpoint", interval="1 second")
+    query.processAllAvailable()
+    assert query.isActive and messages_processed(query) == 1
+    (landing / "2.json").write_text(json.dumps(event(user_id="later")))
+    query.processAllAvailable()
+    query.stop()
+    assert read_log(spark, f"{tmp_path}/log").count() == 2
+
+
 def test_stream_equals_batch_and_feeds_staging(spark, tmp_path, logs):
     sent = logs({}, {"user_id": "u2", "prompt": None}, {"timestamp": datetime(2024, 1, 3)}).select(*schemas.REQUEST_LOG.names)
     events.write_events(events.encode_events(sent), str(tmp_path / "landing"))
@@ -72,6 +86,8 @@ def test_strict_refresh_raises_after_writing_the_marts(store, logs):
     with pytest.raises(refresh.QualityError, match="stg_llm_logs.user_id not_null: 1"):
         refresh.refresh(store, "requests", {"llm_logs_kafka": logs({"user_id": None})}, strict=True)
     assert store.read("marts", "mart_cost_per_user").count() == 1
+    clean = refresh.refresh(store, "requests", {"llm_logs_kafka": logs({})}, strict=True)
+    assert clean.filter("measure <> 'rows'").agg(F.count("*"), F.sum("value")).first()[:] == (4, 0)
 
 
 def test_refresh_of_a_growing_log_is_not_reloaded(store, spark, tmp_path, logs):

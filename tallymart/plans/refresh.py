@@ -89,7 +89,8 @@ def write_mart(warehouse: Warehouse, name: str, mart: DataFrame) -> DataFrame:
 def update_mart(warehouse: Warehouse, name: str, raw: dict[str, DataFrame], since: date) -> DataFrame:
     """Rebuild the dates from ``since`` on of a mart with date folders, leaving earlier folders as they are.
 
-    The raw rows are cut by their own time column, so the scan reads recent files and row groups only.
+    The raw rows are cut by their own time column, which file and row-group statistics prune on. A
+    streamed log read with ``read_log(..., since)`` is cut to its recent date folders before that.
     """
     folder, moment = PARTITIONED_BY[name]
     recent = {table: rows.filter(F.col(moment) >= F.lit(since)) for table, rows in raw.items()}
@@ -120,7 +121,7 @@ def refresh(
     for name in STAGING[domain]:
         relation(name, raw.__getitem__, relations).createOrReplaceTempView(name)
     for name in MARTS[domain]:
-        if since and name in PARTITIONED_BY:
+        if since and name in PARTITIONED_BY and warehouse.exists("marts", name):
             relations[name] = update_mart(warehouse, name, raw, since)
             continue
         relations[name] = write_mart(warehouse, name, relation(name, raw.__getitem__, relations))

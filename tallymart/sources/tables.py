@@ -30,6 +30,9 @@ class Warehouse:
     def name(self, layer: str, table: str) -> str:
         return f"{self.database(layer)}.{table}"
 
+    def exists(self, layer: str, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(layer, table))
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 

@@ -6,6 +6,8 @@ records each batch once, so a restarted query neither loses nor repeats an event
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,9 +71,15 @@ def messages_processed(query: StreamingQuery) -> int:
     return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
-def read_log(spark: SparkSession, log: str) -> DataFrame:
-    """The valid events: the raw request log that staging reads."""
-    return spark.read.schema(SINK).parquet(log).filter(F.col("status") == OK).select(*CONSUMED_LOG.names)
+def read_log(spark: SparkSession, log: str, since: date | None = None) -> DataFrame:
+    """The valid events, from ``since`` on if given: the raw request log that staging reads.
+
+    Both conditions are on folder columns, so other folders are not opened.
+    """
+    rows = spark.read.schema(SINK).parquet(log).filter(F.col("status") == OK)
+    if since:
+        rows = rows.filter(F.col("event_date") >= F.lit(since))
+    return rows.select(*CONSUMED_LOG.names)
 
 
 def read_quarantine(spark: SparkSession, log: str) -> DataFrame:

@@ -32,6 +32,9 @@ def test_each_event_is_ingested_once(spark, tmp_path):
     assert log.schema.names == schemas.CONSUMED_LOG.names
     assert sorted(r.user_id for r in log.collect()) == ["a", "b", "c"]
     assert log.filter("consumed_at IS NULL").count() == 0
+    recent = read_log(spark, str(tmp_path / "log"), datetime(2024, 1, 2).date())
+    assert [r.user_id for r in recent.collect()] == ["c"]
+    assert "event_date" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     (rejected,) = read_quarantine(spark, str(tmp_path / "log")).collect()
     assert rejected.rejected_value == "broken" and rejected.source.endswith("2.json")
 
@@ -102,7 +105,8 @@ def test_refresh_of_a_growing_log_is_not_reloaded(store, spark, tmp_path, logs):
 
 def test_recent_dates_are_rebuilt_alone(store, logs):
     first = logs(*[{"timestamp": datetime(2024, 1, d)} for d in (1, 2, 3)])
-    refresh.refresh(store, "requests", {"llm_logs_kafka": first}, load=False)
+    long_ago = datetime(2024, 1, 1).date()  # without tables yet, everything is built
+    refresh.refresh(store, "requests", {"llm_logs_kafka": first}, load=False, since=long_ago)
     later = first.unionByName(logs({"timestamp": datetime(2024, 1, 3, 5)}, {"timestamp": datetime(2024, 1, 4)}))
     # a first day changed behind the mart's back shows that its folder is left alone
     later = later.filter("timestamp > '2024-01-01'")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import decontamination, mixing, quality, sharding
+from tallymart.llm import decontamination, jaccard, mixing, quality, sharding
 from tallymart.llm.common import stored, table
 
 
@@ -17,6 +17,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs, quality.POLICIES["v1"])
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -34,6 +39,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
     ("decontaminate", decontaminate),
     ("mix_sources", mix_sources),
     ("shard", shard),

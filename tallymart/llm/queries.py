@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, quality, sharding, urlfilter, warc
+from . import decontamination, jaccard, mixing, quality, sharding, urlfilter, warc
 from ..session import scratch_dir
 from .common import table
 
@@ -33,13 +33,17 @@ def op5_url_filter(spark: SparkSession, path: str) -> DataFrame:
     return urlfilter.digest(spark, path)
 
 
+def op7_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
+    return jaccard.digest(table(spark, path, "documents"))
+
+
 def op8_jump_shards(spark: SparkSession, path: str) -> DataFrame:
     return sharding.digest(table(spark, path, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_mix_to_weights, op2_decontaminate, op3_warc_revisits, op4_quality_ledger, op5_url_filter, op8_jump_shards,
+        op1_mix_to_weights, op2_decontaminate, op3_warc_revisits, op4_quality_ledger, op5_url_filter, op7_jaccard_join, op8_jump_shards,
     )
 }
 ORACLE: dict[str, str] = {
@@ -47,4 +51,5 @@ ORACLE: dict[str, str] = {
     "op3_warc_revisits": warc.SQL,
     "op4_quality_ledger": quality.SQL,
     "op5_url_filter": urlfilter.SQL,
+    "op7_jaccard_join": jaccard.SQL,
 }

@@ -33,6 +33,10 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return known[:n]
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    return powers(_INVERSE, n)
+
+
 def scramble(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: nearby inputs get unrelated outputs."""
     x = x ^ (x >> np.uint64(30))

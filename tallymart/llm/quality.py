@@ -14,6 +14,7 @@ are equal, row by row. Result columns replace input columns of the same name in
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,14 +26,14 @@ WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words"]
 
-#: Rules in bit order: the condition under which a document fails.
-RULES: dict[str, Column | str] = {
-    "few_words": "n_words < 20",
-    "repeated_words": "100 * n_repeat_words > 30 * n_words",
-    "many_symbols": "100 * n_symbols > 10 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
-    "short_words": "word_chars < 2 * n_words",
-    "long_words": "word_chars > 20 * n_words",
+#: Rules in bit order: the condition, on the measurements, under which a document fails.
+RULES: dict[str, Callable[[Column], Column]] = {
+    "few_words": lambda m: m["n_words"] < 20,
+    "repeated_words": lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"],
+    "many_symbols": lambda m: 100 * m["n_symbols"] > 10 * m["n_words"],
+    "repeated_lines": lambda m: 100 * m["n_dup_lines"] > 30 * m["n_lines"],
+    "short_words": lambda m: m["word_chars"] < 2 * m["n_words"],
+    "long_words": lambda m: m["word_chars"] > 20 * m["n_words"],
 }
 BIT = {name: 1 << i for i, name in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_words"]
@@ -69,38 +70,43 @@ def _covered(hashes: Column) -> Column:
     return F.aggregate(let(places, new), F.lit(0).cast("long"), lambda total, x: total + x)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with its measurements."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    w = F.col("_words")
-    n = F.size(w)
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    # Only documents with a window that occurs twice need its places.
-    repeat = F.when(F.size(F.array_distinct("_hashes")) == F.size("_hashes"), F.lit(0)).otherwise(_covered(F.col("_hashes")))
+def _measures(text: Column) -> Column:
+    """All measurements of a text as one struct; words and windows are built once."""
+    text = F.coalesce(text, F.lit(""))
+
+    def of(w: Column, lines: Column) -> Column:
+        n = F.size(w)
+        starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
+        windows = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
+        # Only texts with a window that occurs twice need its places.
+        repeat = let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(_covered(h)))
+        values = [
+            n, F.length(F.array_join(w, "")), F.regexp_count(text, F.lit(SYMBOLS)),
+            F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines), repeat,
+        ]
+        return F.struct(*[value.cast("long").alias(name) for name, value in zip(MEASURES, values)])
+
     worded = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \x09-\x0D]"))
-    return (
-        docs.withColumn("_words", words(F.col("text")))
-        .withColumn("_hashes", F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, WINDOW))))
-        .withColumn("_lines", worded)
-        .withColumns({
-            "n_words": n.cast("long"),
-            "word_chars": F.length(F.array_join(w, "")).cast("long"),
-            "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": repeat.cast("long"),
-        })
-        .drop("_words", "_hashes", "_lines")
-    )
+    return let(words(text), lambda w: let(worded, lambda lines: of(w, lines)))
+
+
+def _entry(text: Column) -> Column:
+    """Measurements and ``failed`` as one struct, so that a filter pushed to it measures each text once."""
+
+    def judged(m: Column) -> Column:
+        failed = F.lit(0)
+        for name, fails in RULES.items():
+            failed = failed.bitwiseOR(F.when(fails(m), BIT[name]).otherwise(0))
+        return F.struct(*[m[name].alias(name) for name in MEASURES], failed.alias("failed"))
+
+    return let(_measures(text), judged)
 
 
 def ledger(docs: DataFrame) -> DataFrame:
     """``docs`` with its measurements and ``failed``, one bit per failed rule."""
-    bits = [F.when(F.expr(rule), BIT[name]).otherwise(0) for name, rule in RULES.items()]
-    total = bits[0]
-    for bit in bits[1:]:
-        total = total.bitwiseOR(bit)
-    return measured(docs).withColumn("failed", total)
+    added = [*MEASURES, "failed"]
+    kept = [name for name in docs.columns if name not in added]
+    return docs.select(*kept, _entry(F.col("text")).alias("_entry")).select(*kept, *[F.col(f"_entry.{name}") for name in added])
 
 
 def rejected(policy: Policy) -> Column:

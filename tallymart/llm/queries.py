@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, mixing, quality, sharding, urlfilter, warc
+from . import decontamination, jaccard, mixing, quality, sharding, suffixdedup, urlfilter, warc
 from ..session import scratch_dir
 from .common import table
 
@@ -41,9 +41,14 @@ def op8_jump_shards(spark: SparkSession, path: str) -> DataFrame:
     return sharding.digest(table(spark, path, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return suffixdedup.digest(table(spark, path, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_mix_to_weights, op2_decontaminate, op3_warc_revisits, op4_quality_ledger, op5_url_filter, op7_jaccard_join, op8_jump_shards,
+        op9_suffix_dedup,
     )
 }
 ORACLE: dict[str, str] = {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, mixing, quality, sharding, suffixdedup, urlfilter, warc
+from . import decontamination, jaccard, mixing, quality, recompression, sharding, suffixdedup, tokencount, urlfilter, warc
 from ..session import scratch_dir
 from .common import table
 
@@ -33,6 +33,10 @@ def op5_url_filter(spark: SparkSession, path: str) -> DataFrame:
     return urlfilter.digest(spark, path)
 
 
+def op6_token_counts(spark: SparkSession, path: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, path, "documents"), tokencount.vocabulary(spark))
+
+
 def op7_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
     return jaccard.digest(table(spark, path, "documents"))
 
@@ -45,10 +49,14 @@ def op9_suffix_dedup(spark: SparkSession, path: str) -> DataFrame:
     return suffixdedup.digest(table(spark, path, "documents"))
 
 
+def op10_recompression(spark: SparkSession, path: str) -> DataFrame:
+    return recompression.digest(table(spark, path, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_mix_to_weights, op2_decontaminate, op3_warc_revisits, op4_quality_ledger, op5_url_filter, op7_jaccard_join, op8_jump_shards,
-        op9_suffix_dedup,
+        op1_mix_to_weights, op2_decontaminate, op3_warc_revisits, op4_quality_ledger, op5_url_filter, op6_token_counts, op7_jaccard_join, op8_jump_shards,
+        op9_suffix_dedup, op10_recompression,
     )
 }
 ORACLE: dict[str, str] = {
@@ -57,4 +65,5 @@ ORACLE: dict[str, str] = {
     "op4_quality_ledger": quality.SQL,
     "op5_url_filter": urlfilter.SQL,
     "op7_jaccard_join": jaccard.SQL,
+    "op10_recompression": recompression.SQL,
 }

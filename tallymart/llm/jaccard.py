@@ -1,11 +1,12 @@
 """Near copies: documents whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
 
 A set of n shingles that is similar to another shares, under any order of all shingles, one of its
-first n - ceil(0.8 n) + 1 with the other's. Three orders are used: all put shingles that many
-documents share last, and otherwise follow different hashes. Sets that meet in some prefix list form
-clusters. Clusters of the first order are split by the second order's lists inside each cluster, and
-again by the third, so a candidate shares prefix shingles under every order; only then are whole sets
-brought together, one cluster at a time, and compared exactly.
+first n - ceil(0.8 n) + 1 with the other's. Three orders are used: two put shingles that many documents
+share last and otherwise follow different hashes, the third is the exact order by frequency among the
+sets that are left. Sets that meet in some prefix list form clusters. Clusters of the first order are
+split by the second order's lists inside each cluster, and again by the third's, so a candidate shares
+prefix shingles under every order; only then are whole sets brought together, one cluster at a time, and
+compared exactly.
 
 No pair is written before it is verified: lists become stars around their smallest member, and the
 comparison inside a cluster walks from each set to the ones not reached yet. Equal sets are one entity
@@ -36,11 +37,10 @@ from .flat import chunks, grams, lower_ascii, scramble, word_bounds, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
-ORDERS = 3
 #: The commonest shingles that the orders put last; which ones does not change results.
-HEAVY = 1 << 19
+HEAVY = 1 << 20
 #: Occurrences in a batch from which a shingle is reported as common.
-REPEATED = 3
+REPEATED = 2
 #: Members of a list that stay together; longer lists are split, and their stars meet in their centres.
 LIST_ROWS = 20_000
 #: Shingles that are held at once while sets are compared.
@@ -214,6 +214,32 @@ def _later_lists(heavy, order: int) -> Callable:
     return lists
 
 
+def _all_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (list, entity, need): every shingle inside its cluster; ``need`` of a set's shingles a similar set has."""
+    for batch in batches:
+        token, at = _flat(batch.column("shingles"))
+        sizes = np.diff(at)
+        cluster = np.repeat(batch.column("cluster").to_numpy().view(np.uint64), sizes)
+        entity = np.repeat(batch.column("entity").to_numpy(), sizes)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_signed(scramble(token + scramble(cluster)))), pa.array(entity), pa.array(np.repeat((PERCENT * sizes + 99) // 100, sizes))],
+            ["list", "entity", "need"],
+        )
+
+
+def rarest_lists(sets: DataFrame) -> DataFrame:
+    """Lists of the prefixes under the order by frequency inside the cluster, rarest first.
+
+    A shingle that only one set of the cluster has comes first and makes no list, so of s shingles that others have
+    too, the first s - need + 1 are left, and sets with fewer shared shingles than they need drop out.
+    """
+    every = sets.select("entity", "cluster", "shingles").mapInArrow(_all_lists, "list long, entity long, need long").distinct()
+    shared = every.withColumn("df", F.count("*").over(W.partitionBy("list"))).where("df > 1")
+    own = W.partitionBy("entity")
+    ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("df", "list"))).withColumn("s", F.count("*").over(own))
+    return ranked.where("rank <= s - need + 1").select("list", F.lit(None).cast("long").alias("parent"), "entity")
+
+
 def clusters(lists: DataFrame) -> DataFrame:
     """(entity, cluster) of entities that meet another in some list, directly or through others.
 
@@ -236,10 +262,12 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, data, offsets in chunks(batch, "text"):
             token, at = shingle_sets(data, offsets)
             part = batch.slice(row, len(offsets) - 1)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("entity"), part.column("check"), part.column("cluster"), pa.array(np.diff(at)), _binary(token, at)],
-                ["entity", "check", "cluster", "n", "shingles"],
+            made = pa.RecordBatch.from_arrays(
+                [part.column("entity"), part.column("cluster"), pa.array(np.diff(at)), _binary(token, at)],
+                ["entity", "cluster", "n", "shingles"],
             )
+            once = np.unique(part.column("entity").to_numpy(), return_index=True)[1]  # repeated rows bring a set again
+            yield made if len(once) == len(part) else made.take(pa.array(np.sort(once)))
 
 
 def linked_pairs(entity: np.ndarray, token: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -288,24 +316,32 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
 
 
-def verified_links(sets: DataFrame) -> DataFrame:
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, a stored table of a few numbers a row, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def verified_links(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): links between entities of one cluster, enough to connect all that are similar.
 
     Small clusters share groups; a large one is dealt into blocks, and each pair of blocks is a group.
     """
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    bins = int(total // GROUP_TOKENS) + 1
+    sized = stored(sets.select("entity", "n").distinct().join(labels, "entity"), "sized")
+    bins = int((sized.agg(F.sum("n")).first()[0] or 0) // GROUP_TOKENS) + 1
     half = GROUP_TOKENS // 2
-    sizes = sets.groupBy("cluster").agg(F.sum("n").alias("_n")).select(
-        "cluster", F.when(F.col("_n") <= half, 1).otherwise(F.ceil(F.col("_n") / half)).cast("int").alias("blocks")
-    )
-    dealt = sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    grouped = dealt.select("cluster", "entity", "shingles", "blocks", "block", other.alias("other")).select(
+    blocks = F.when(F.col("_n") <= half, 1).otherwise(F.ceil(F.col("_n") / half)).cast("int").alias("blocks")
+    sizes = sized.groupBy("cluster").agg(F.sum("n").alias("_n")).select("cluster", blocks)
+    placed = stored(sized.select("entity", "cluster").join(sizes, "cluster"), "placed")
+    single = F.col("blocks") == 1
+    block = F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int")
+    others = F.when(single, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    grouped = sets.select("entity", "shingles").join(_small(placed), "entity").select(
+        "cluster", "entity", "shingles", single.alias("single"), block.alias("block"), F.explode(others).alias("other"),
+    ).select(
         "cluster", "entity", "shingles",
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster")).alias("g"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.least("block", "other")).alias("i"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("block", "other")).alias("j"),
+        F.when(F.col("single"), F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster")).alias("g"),
+        F.when(F.col("single"), -1).otherwise(F.least("block", "other")).alias("i"),
+        F.when(F.col("single"), -1).otherwise(F.greatest("block", "other")).alias("j"),
     )
     return grouped.groupBy("g", "i", "j").applyInArrow(_verify, "a long, b long")
 
@@ -328,16 +364,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
     met = stored(clusters(entities.select("entity", "prefix").mapInArrow(_first_lists(heavy), _LISTS)), "clusters")
     wanted = stored(entities.drop("prefix").join(met, "entity"), "candidates")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = rows.alias("t").join(wanted.alias("w"), same("t", "w", ["doc_id", "text_hash"])).select("entity", "check", "cluster", "text")
-    sets = stored(
-        texts.mapInArrow(_with_sets, "entity long, check long, cluster long, n long, shingles binary").dropDuplicates(identity), "sets"
-    )
-    for order in range(1, ORDERS):
-        split = clusters(sets.select("entity", "cluster", "shingles").mapInArrow(_later_lists(heavy, order), _LISTS))
-        sets = sets.drop("cluster").join(split, "entity")
-    roots = components(verified_links(sets))
+    texts = rows.alias("t").join(_small(wanted).alias("w"), same("t", "w", ["doc_id", "text_hash"])).select("entity", "cluster", "text")
+    sets = stored(texts.mapInArrow(_with_sets, "entity long, cluster long, n long, shingles binary"), "sets")
+    met = stored(clusters(sets.select("entity", "cluster", "shingles").mapInArrow(_later_lists(heavy, 1), _LISTS)), "clusters")
+    again = sets.drop("cluster").join(_small(met), "entity")
+    met = stored(clusters(rarest_lists(again)), "clusters")
+    roots = components(verified_links(sets, met))
     whole = entities.drop("prefix").join(roots, entities.entity == roots.node, "left").select(
         *identity, "doc_id", F.coalesce("root", "entity").alias("root")
     )

@@ -4,8 +4,8 @@ Texts are recompressed in rounds: runs of one symbol get a name, then pairs whos
 symbol fall on different sides of a coin get one. Names and coins are hashes of what they stand for, so
 every task gives equal pairs equal names and the rounds need no exchange; a new coin is tossed for each
 symbol in each round. A symbol remembers the stretch of words that decided it. Two equal windows
-therefore hold the same symbols, apart from those that words outside had a say in, and the smallest symbol
-that a window decides alone is its anchor for ``spans``. A window that decides none is its own anchor.
+therefore hold the same symbols, apart from those that words outside had a say in, and of the
+longest symbols that a window decides alone the one with the smallest hash is its anchor for ``spans``. A window that decides none is its own anchor.
 
 Contexts of an anchor are compared window by window: two independent 64-bit hashes of a window's 35 words
 must agree.
@@ -30,9 +30,9 @@ from .flat import chunks, prefix_sums, scramble, span_hash, word_bounds, word_ha
 from .spans import batch_of, by_text, classes, compared, consecutive, forget, mask, of_documents, runs, unique_texts
 
 WINDOW = 35
-ROUNDS = 2
+ROUNDS = 3
 #: Words that a symbol may stand for.
-MOST = 4
+MOST = 8
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -138,10 +138,12 @@ def find_runs(batch: pa.RecordBatch) -> Iterator[tuple]:
         hashes = word_hashes(data, begins, ends)
         counts = np.diff(first_word)
         doc = np.repeat(np.arange(len(counts)), counts)
-        names, start, _, low, high = recompress(hashes, doc)
+        names, start, size, low, high = recompress(hashes, doc)
         named = scramble(names)
         bits = np.uint64(max(20, int(len(names)).bit_length()))
-        best = smallest_inside((named >> bits << bits) | np.arange(len(names), dtype=np.uint64), low, high, n)
+        # Long symbols first: they are rarer anchors.
+        key = ((MOST - size).astype(np.uint64) << np.uint64(60)) | (named >> np.uint64(4))
+        best = smallest_inside((key >> bits << bits) | np.arange(len(names), dtype=np.uint64), low, high, n)
         alone = best == _NONE
         symbol = np.where(alone, 0, best & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
         place = np.where(alone, np.arange(n), start[symbol])

@@ -233,7 +233,8 @@ def rarest_lists(sets: DataFrame) -> DataFrame:
     A shingle that only one set of the cluster has comes first and makes no list, so of s shingles that others have
     too, the first s - need + 1 are left, and sets with fewer shared shingles than they need drop out.
     """
-    every = sets.select("entity", "cluster", "shingles").mapInArrow(_all_lists, "list long, entity long, need long").distinct()
+    # A set that repeated rows bring twice counts twice, which only lengthens its prefix.
+    every = sets.select("entity", "cluster", "shingles").mapInArrow(_all_lists, "list long, entity long, need long")
     shared = every.withColumn("df", F.count("*").over(W.partitionBy("list"))).where("df > 1")
     own = W.partitionBy("entity")
     ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("df", "list"))).withColumn("s", F.count("*").over(own))
@@ -356,21 +357,21 @@ def near_copies(docs: DataFrame) -> DataFrame:
         "shingle-prefixes",
     )
     identity = ["entity", "check"]
-    entities = stored(
+    prefixed = (
         described.where("n_shingles > 0").groupBy(*identity)
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("of"), F.first("prefix").alias("prefix"))
-        .select(*identity, "of.doc_id", "of.text_hash", "prefix"),
-        "entities",
+        .select(*identity, "of.doc_id", "of.text_hash", "prefix")
     )
-    met = stored(clusters(entities.select("entity", "prefix").mapInArrow(_first_lists(heavy), _LISTS)), "clusters")
-    wanted = stored(entities.drop("prefix").join(met, "entity"), "candidates")
+    met = stored(clusters(prefixed.select("entity", "prefix").mapInArrow(_first_lists(heavy), _LISTS)), "clusters")
+    entities = stored(prefixed.drop("prefix"), "entities")
+    wanted = stored(entities.join(met, "entity"), "candidates")
     texts = rows.alias("t").join(_small(wanted).alias("w"), same("t", "w", ["doc_id", "text_hash"])).select("entity", "cluster", "text")
     sets = stored(texts.mapInArrow(_with_sets, "entity long, cluster long, n long, shingles binary"), "sets")
     met = stored(clusters(sets.select("entity", "cluster", "shingles").mapInArrow(_later_lists(heavy, 1), _LISTS)), "clusters")
     again = sets.drop("cluster").join(_small(met), "entity")
     met = stored(clusters(rarest_lists(again)), "clusters")
     roots = components(verified_links(sets, met))
-    whole = entities.drop("prefix").join(roots, entities.entity == roots.node, "left").select(
+    whole = entities.join(roots, entities.entity == roots.node, "left").select(
         *identity, "doc_id", F.coalesce("root", "entity").alias("root")
     )
     named = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))

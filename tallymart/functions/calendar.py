@@ -26,8 +26,21 @@ def is_month_end(day: Column) -> Column:
 
 
 def lag_millis(earlier: Column, later: Column) -> Column:
-    """Millisecond boundaries crossed between two instants (not whole elapsed milliseconds)."""
-    return F.unix_millis(later.cast("timestamp")) - F.unix_millis(earlier.cast("timestamp"))
+    """Millisecond boundaries crossed between two wall-clock instants (not whole elapsed milliseconds).
+
+    Zone-free: the difference in microseconds, with what each side has beyond its last whole
+    millisecond put right.
+    """
+    earlier, later = earlier.cast("timestamp_ntz"), later.cast("timestamp_ntz")
+    span = later - earlier
+    hours = F.extract(F.lit("DAY"), span).cast("bigint") * 24 + F.extract(F.lit("HOUR"), span)
+    micros = (hours * 60 + F.extract(F.lit("MINUTE"), span)) * 60_000_000 + _micros(span)
+    return ((micros + _micros(earlier) % 1000 - _micros(later) % 1000) / 1000).cast("bigint")
+
+
+def _micros(moment: Column) -> Column:
+    """The seconds field in microseconds."""
+    return (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
 
 
 def seconds(millis: Column) -> Column:

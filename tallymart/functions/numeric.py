@@ -29,12 +29,23 @@ def sql_round(value: Column, places: int = 0) -> Column:
 
 
 def to_units(value: Column, scale: int = AMOUNT_SCALE) -> Column:
-    """``value`` as a whole number of 10^-scale, ready to be summed exactly.
+    """``value`` as a whole number of 10^-scale, ready to be summed exactly; 0 where that cannot hold it.
 
-    Values carry at most ``scale`` decimals, so the product is a whole number up to float noise, and
-    ``rint``, a single machine instruction, finds it.
+    ``rint``, a single machine instruction, finds the whole number up to float noise. What a value has
+    beyond it is ``off_grid``.
     """
-    return F.rint(value * F.lit(float(10**scale))).cast("bigint")
+    scaled = value * F.lit(float(10**scale))
+    return F.when(F.abs(scaled) < F.lit(2.0**63), F.rint(scaled)).when(value.isNotNull(), 0.0).cast("bigint")
+
+
+def off_grid(value: Column, scale: int = AMOUNT_SCALE) -> Column:
+    """What ``to_units`` leaves out: 0 for values of at most ``scale`` decimals, NaN or infinity for such values.
+
+    Differences of a few units in the last place of a double are float noise.
+    """
+    rest = value - to_units(value, scale) / F.lit(float(10**scale))
+    noise = (F.abs(value) < F.lit(float("inf"))) & (F.abs(rest) <= F.abs(value) * F.lit(2.0**-50))
+    return F.when(noise, 0.0).otherwise(rest)
 
 
 def rounded_total(units: Column, places: int, scale: int = AMOUNT_SCALE) -> Column:
@@ -51,13 +62,25 @@ def rounded_ratio(units: Column, count: Column, places: int, scale: int = AMOUNT
     return F.round(units / divisor, 0) / F.lit(float(10**places))
 
 
+def total(units: Column, rest: Column, places: int, scale: int = AMOUNT_SCALE) -> Column:
+    """Rounded total of summed units and summed remainders; exact and order-free while those are 0."""
+    value = sql_round(units / F.lit(float(10**scale)) + rest, places)
+    return F.when(rest == 0, rounded_total(units, places, scale)).otherwise(value)
+
+
+def ratio(units: Column, rest: Column, count: Column, places: int, scale: int = AMOUNT_SCALE) -> Column:
+    """``total`` divided by ``count``, rounded."""
+    value = sql_round((units / F.lit(float(10**scale)) + rest) / F.nullif(count, F.lit(0)), places)
+    return F.when(rest == 0, rounded_ratio(units, count, places, scale)).otherwise(value)
+
+
 def exact_sum(value: Column, places: int, scale: int = AMOUNT_SCALE) -> Column:
-    return rounded_total(F.sum(to_units(value, scale)), places, scale)
+    return total(F.sum(to_units(value, scale)), F.sum(off_grid(value, scale)), places, scale)
 
 
 def exact_avg(value: Column, places: int, scale: int = AMOUNT_SCALE) -> Column:
     """Mean over the non-NULL values."""
-    return rounded_ratio(F.sum(to_units(value, scale)), F.count(value), places, scale)
+    return ratio(F.sum(to_units(value, scale)), F.sum(off_grid(value, scale)), F.count(value), places, scale)
 
 
 def whole_avg(value: Column) -> Column:

@@ -53,9 +53,9 @@ def recompute_cost(log: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def expected_load(readings: DataFrame, base_loads: DataFrame) -> DataFrame:
-    """Staged readings with the load expected for their site type, hour and day."""
+    """Staged readings with the load expected for their site type, hour and day; NULL for an unknown site type."""
     expected = pricing.expected_kwh(F.col("base_kwh"), F.col("reading_hour"), F.col("is_weekend"))
-    return readings.join(base_loads, "site_type").select(
+    return readings.join(base_loads, "site_type", "left").select(
         *readings.columns,
         expected.alias("expected_kwh"),
         sql_round(F.col("consumption_kwh") - expected, 4).alias("excess_kwh"),
@@ -94,8 +94,11 @@ def route(df: DataFrame, prompt: str = "prompt", model: str = "model", words: st
 
 
 def routed_events(log: DataFrame, rates: DataFrame) -> DataFrame:
-    """Route each logged prompt and price it by the chosen model's card, as a routed event."""
-    routed = route(log).join(rates, "model")
+    """Route each logged prompt and price it by the chosen model's card, as a routed event.
+
+    A NULL prompt has no model, hence no strength and no cost.
+    """
+    routed = route(log).join(rates, "model", "left")
     cost = pricing.token_cost(
         F.col("prompt_tokens"), F.col("output_tokens"), F.col("input_rate"), F.col("output_rate")
     )

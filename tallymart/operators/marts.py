@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.numeric import (
-    USD_SCALE, exact_avg, exact_sum, rounded_ratio, rounded_total, sql_round, to_units, whole_avg,
+    USD_SCALE, exact_avg, exact_sum, off_grid, ratio, sql_round, to_units, total, whole_avg,
 )
 from .staging import latency_class
 
@@ -103,25 +103,29 @@ def mart_customer_segments(customers: DataFrame, orders: DataFrame) -> DataFrame
         .agg(
             F.count("order_id").alias("orders"),
             F.sum(to_units(F.col("revenue_eur"))).alias("revenue"),
+            F.sum(off_grid(F.col("revenue_eur"))).alias("revenue_rest"),
             F.count("revenue_eur").alias("revenue_values"),
             F.sum(to_units(F.col("profit_eur"))).alias("profit"),
+            F.sum(off_grid(F.col("profit_eur"))).alias("profit_rest"),
         )
     )
-    sums = [F.sum(name).alias(name) for name in ("orders", "revenue", "revenue_values", "profit")]
+    sums = [F.sum(name).alias(name) for name in (
+        "orders", "revenue", "revenue_rest", "revenue_values", "profit", "profit_rest"
+    )]
     by_member = (
         customers.join(per_customer, "customer_id").groupBy("customer_id", "segment", "country").agg(*sums)
     )
     summary = by_member.groupBy("segment", "country").agg(F.count("*").alias("total_customers"), *sums)
-    revenue = F.col("revenue")
+    revenue, revenue_rest = F.col("revenue"), F.col("revenue_rest")
     return summary.select(
         "segment",
         "country",
         "total_customers",
         F.col("orders").alias("total_orders"),
-        rounded_total(revenue, 2).alias("total_revenue_eur"),
-        rounded_total(F.col("profit"), 2).alias("total_profit_eur"),
-        rounded_ratio(revenue, F.col("revenue_values"), 2).alias("avg_order_value_eur"),
-        rounded_ratio(revenue, F.col("total_customers"), 2).alias("revenue_per_customer_eur"),
+        total(revenue, revenue_rest, 2).alias("total_revenue_eur"),
+        total(F.col("profit"), F.col("profit_rest"), 2).alias("total_profit_eur"),
+        ratio(revenue, revenue_rest, F.col("revenue_values"), 2).alias("avg_order_value_eur"),
+        ratio(revenue, revenue_rest, F.col("total_customers"), 2).alias("revenue_per_customer_eur"),
     )
 
 
@@ -230,7 +234,8 @@ def mart_latency_analysis(logs: DataFrame) -> DataFrame:
 def mart_model_comparison(logs: DataFrame) -> DataFrame:
     """Cost, latency and token efficiency per model."""
     mean_latency = F.avg("latency_ms")
-    cost_units = F.sum(to_units(F.col("cost_usd"), USD_SCALE))
+    cost = F.col("cost_usd")
+    cost_units = F.sum(to_units(cost, USD_SCALE)) + F.sum(off_grid(cost, USD_SCALE)) * F.lit(float(10**USD_SCALE))
     return logs.groupBy("model").agg(
         F.count("*").alias("total_requests"),
         _usd(6).alias("total_cost_usd"),

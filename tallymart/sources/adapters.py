@@ -37,15 +37,6 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{path}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, spread over the cores for work that is heavy per row.
-
-    A table of many files comes back as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.hint("rebalance") if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _pick(rows: list[tuple], position: int, index: Column) -> Column:
     """Attribute ``position`` of the fixed row chosen by a zero-based index column."""
     return F.element_at(F.array(*[F.lit(row[position]) for row in rows]), (index + 1).cast("int"))
@@ -238,11 +229,8 @@ def weather_payloads(spark: SparkSession, path: str) -> DataFrame:
 # --- request logs -------------------------------------------------------------------
 
 
-def llm_logs_kafka(spark: SparkSession, path: str, heavy: bool = False) -> DataFrame:
-    """Request log: every event carries a prompt of ``benchmark``, taken in turn.
-
-    ``heavy`` announces costly work per row, for which a small scan of ``events`` is spread.
-    """
+def llm_logs_kafka(spark: SparkSession, path: str) -> DataFrame:
+    """Request log: every event carries a prompt of ``benchmark``, taken in turn."""
     log_events = table(spark, path, "events")
     prompts = table(spark, path, "benchmark").select("item_id", "text")
     turn = F.col("event_id") % prompts.agg(F.count("*")).scalar()
@@ -252,7 +240,7 @@ def llm_logs_kafka(spark: SparkSession, path: str, heavy: bool = False) -> DataF
         F.lit(0), F.lit(0), F.lit(0), ((event % 5000 * 1000 + 500) / F.lit(1e6)).cast("decimal(18,6)")
     )
     return (
-        (spread(log_events) if heavy else log_events)
+        log_events
         .withColumn("item_id", turn)
         .withColumn("input_tokens", F.get_json_object("props", "$.k").cast("int"))
         .join(prompts, "item_id")

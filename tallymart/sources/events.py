@@ -30,7 +30,7 @@ def decode_events(messages: DataFrame) -> DataFrame:
     """Parse ``value``; adds the event fields and ``is_valid``, keeps all other columns.
 
     Valid means: JSON of the declared types, every required field present (a present NULL is a
-    value), and a readable timestamp. Fields beyond the schema, such as routing details, drop out.
+    value), numbers finite, and a readable timestamp. Fields beyond the schema, such as routing details, drop out.
     """
     text = F.col("value").cast("string")
     carried = [name for name in messages.columns if name != "value"]
@@ -45,8 +45,9 @@ def decode_events(messages: DataFrame) -> DataFrame:
     complete = F.greatest(*[value.isNull() for value in event.values()]) == F.lit(False)
     keys_present = F.size(F.array_except(required, F.json_object_keys("value"))) == 0
     readable = moment.isNotNull() | event["timestamp"].isNull()
+    finite = F.coalesce(F.abs(event["cost_usd"]) < F.lit(float("inf")), F.lit(True))
     # the second look at the text is only taken for events with a NULL field
-    valid = F.col(f"_event.{CORRUPT_FIELD}").isNull() & F.when(complete, True).otherwise(keys_present) & readable
+    valid = F.col(f"_event.{CORRUPT_FIELD}").isNull() & F.when(complete, True).otherwise(keys_present) & readable & finite
     return parsed.select(
         *carried,
         "value",
@@ -57,8 +58,8 @@ def decode_events(messages: DataFrame) -> DataFrame:
 
 
 def usage_tokens(body: Column, field: str) -> Column:
-    """A token counter of a JSON response body; an absent counter is 0."""
-    return F.coalesce(F.get_json_object(body, f"$.{field}").cast("int"), F.lit(0))
+    """A token counter of a JSON response body; an absent, null or unreadable counter is 0."""
+    return F.coalesce(F.get_json_object(body, f"$.{field}").try_cast("int"), F.lit(0))
 
 
 # --- connectors -------------------------------------------------------------------

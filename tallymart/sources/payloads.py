@@ -32,14 +32,15 @@ def flatten_hourly(payloads: DataFrame, cities: DataFrame) -> DataFrame:
     """One raw weather row per element of ``hourly.time``, with its city's coordinates.
 
     Arrays are zipped by position inside the row, so nothing is shuffled. A variable's array that
-    is too short gives NULL; elements beyond the time axis are not readings.
+    is too short gives NULL; elements beyond the time axis are not readings, a NULL time on it is. A
+    city that is not listed gets NULL coordinates.
     """
     zipped = F.arrays_zip(*[F.col(f"hourly.{name}") for name in HOURLY_READINGS.names])
+    zipped = F.slice(zipped, 1, F.size("hourly.time"))
     rows = payloads.select("city", F.inline(zipped)).toDF("city", *HOURLY_READINGS.names)
     moment = F.col("time").cast("timestamp_ntz")
     return (
-        rows.filter(F.col("time").isNotNull())
-        .join(cities, "city")
+        rows.join(cities, "city", "left")
         .select(
             "city", "latitude", "longitude",
             moment.alias("timestamp"),

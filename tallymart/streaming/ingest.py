@@ -66,19 +66,19 @@ def ingest(messages: DataFrame, log: str, checkpoint: str, interval: str | None
     )
 
 
-def messages_processed(query: StreamingQuery) -> int:
-    """Messages read over the recent progress of a query."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def messages_processed(spark: SparkSession, log: str) -> int:
+    """Messages that a log holds, valid or in quarantine, over all runs and restarts."""
+    return spark.read.schema(SINK).parquet(log).count()
 
 
 def read_log(spark: SparkSession, log: str, since: date | None = None) -> DataFrame:
-    """The valid events, from ``since`` on if given: the raw request log that staging reads.
+    """The valid events, from ``since`` on if given, and those without a date: the log that staging reads.
 
     Both conditions are on folder columns, so other folders are not opened.
     """
     rows = spark.read.schema(SINK).parquet(log).filter(F.col("status") == OK)
     if since:
-        rows = rows.filter(F.col("event_date") >= F.lit(since))
+        rows = rows.filter((F.col("event_date") >= F.lit(since)) | F.col("event_date").isNull())
     return rows.select(*CONSUMED_LOG.names)
 
 

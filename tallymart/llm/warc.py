@@ -25,8 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Payload bytes that go to one archive file.
-FILE_BYTES = 64 << 20
+FILE_BYTES = 16 << 20
+#: Originals of repeated digests that are broadcast, about 100 bytes each; more are shuffled.
+BROADCAST_ROWS = 200_000
 #: Smaller payloads are not worth a revisit record.
 LEAST = 100
 #: Rows of one Arrow batch while reading.
@@ -55,9 +59,16 @@ def originals(records: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def resolve(records: DataFrame, least: int = LEAST) -> DataFrame:
-    """Add record_type and refers_to. A hot digest is one row on the other side, so its partition can be split."""
+    """Add record_type and refers_to.
+
+    Few originals are broadcast, and payloads stay where they are. Else both sides are shuffled by digest;
+    a hot digest is one row on the originals' side, so its partition can be split.
+    """
+    known = stored(originals(records, least), "originals")
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
     repeats = (F.col("original").isNotNull()) & ~F.col("page_id").eqNullSafe(F.col("original"))
-    return records.join(originals(records, least), "payload_digest", "left").withColumns({
+    return records.join(known, "payload_digest", "left").withColumns({
         "record_type": F.when(repeats, "revisit").otherwise("response"),
         "refers_to": F.when(repeats, F.col("original")),
     }).drop("original")

@@ -5,8 +5,9 @@ first n - ceil(0.8 n) + 1 with the other's. Three orders are used: two put shing
 share last and otherwise follow different hashes, the third is the exact order by frequency among the
 sets that are left. Sets that meet in some prefix list form clusters. Clusters of the first order are
 split by the second order's lists inside each cluster, and again by the third's, so a candidate shares
-prefix shingles under every order; only then are whole sets brought together, one cluster at a time, and
-compared exactly.
+prefix shingles under every order, and only candidates are compared exactly. A cluster of up to half of
+``GROUP_TOKENS`` is brought together after the second order and split by the third and compared in one
+call; a larger one is split by the third order through shuffled lists, and what is left is brought together.
 
 No pair is written before it is verified: lists become stars around their smallest member, and the
 comparison inside a cluster walks from each set to the ones not reached yet. Equal sets are one entity
@@ -299,8 +300,45 @@ def linked_pairs(entity: np.ndarray, token: np.ndarray, at: np.ndarray) -> list[
     return found
 
 
+def _meeting(entry_list: np.ndarray, entry_set: np.ndarray, sets: int) -> np.ndarray:
+    """For each set the smallest number of those that it meets in some list, directly or through others."""
+    order = np.argsort(entry_list, kind="stable")
+    entry_list, entry_set = entry_list[order], entry_set[order]
+    firsts = np.flatnonzero(np.concatenate([[True], entry_list[1:] != entry_list[:-1]])) if len(order) else order
+    members = np.diff(np.append(firsts, len(order)))
+    label = np.arange(sets)
+    while len(order):
+        low = np.repeat(np.minimum.reduceat(label[entry_set], firsts), members)
+        new = label.copy()
+        np.minimum.at(new, entry_set, low)
+        np.minimum.at(new, label[entry_set], low)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    return label
+
+
+def split_by_rarest(token: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Sets of one cluster that meet under the order by frequency inside it, as ``rarest_lists`` has it; groups of two and more."""
+    sizes = np.diff(at)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, token, df = np.unique(token, return_inverse=True, return_counts=True)
+    shared = df[token] > 1
+    token, owner = token[shared], owner[shared]
+    order = np.lexsort((token, df[token], owner))
+    token, owner = token[order], owner[order]
+    left = np.bincount(owner, minlength=len(sizes))
+    rank = np.arange(len(token)) - np.repeat(np.cumsum(left) - left, left)
+    prefix = rank < np.repeat(left - (PERCENT * sizes + 99) // 100 + 1, left)
+    label = _meeting(token[prefix], owner[prefix], len(sizes))
+    order = np.argsort(label, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(label[order])) + 1)
+    return [part for part in parts if len(part) > 1]
+
+
 def _verify(group: pa.Table) -> pa.Table:
-    """Links (a, b) inside each cluster of a group."""
+    """Links (a, b) inside each cluster of a group, among its sets that meet under the order by frequency."""
     group = group.combine_chunks()
     cluster = group.column("cluster").to_numpy()
     order = np.argsort(cluster, kind="stable")
@@ -311,9 +349,12 @@ def _verify(group: pa.Table) -> pa.Table:
     for start, end in zip(bounds[:-1], bounds[1:]):
         if end - start > 1:
             token, at = _flat(group.column("shingles").slice(start, end - start).combine_chunks())
-            for a, b in linked_pairs(entity[start:end], token, at):
-                left.append(a)
-                right.append(b)
+            for part in split_by_rarest(token, at):
+                sizes = np.diff(at)[part]
+                own = np.concatenate([token[at[i]:at[i + 1]] for i in part])
+                for a, b in linked_pairs(entity[start:end][part], own, np.concatenate([[0], np.cumsum(sizes)])):
+                    left.append(a)
+                    right.append(b)
     return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
 
 
@@ -322,21 +363,25 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def verified_links(sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): links between entities of one cluster, enough to connect all that are similar.
-
-    Small clusters share groups; a large one is dealt into blocks, and each pair of blocks is a group.
-    """
+def in_blocks(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(entity, cluster, n, blocks): how many blocks a cluster is dealt into, 1 if it is small."""
     sized = stored(sets.select("entity", "n").distinct().join(labels, "entity"), "sized")
-    bins = int((sized.agg(F.sum("n")).first()[0] or 0) // GROUP_TOKENS) + 1
     half = GROUP_TOKENS // 2
     blocks = F.when(F.col("_n") <= half, 1).otherwise(F.ceil(F.col("_n") / half)).cast("int").alias("blocks")
     sizes = sized.groupBy("cluster").agg(F.sum("n").alias("_n")).select("cluster", blocks)
-    placed = stored(sized.select("entity", "cluster").join(sizes, "cluster"), "placed")
+    return stored(sized.join(sizes, "cluster").select("entity", "cluster", "n", "blocks"), "placed")
+
+
+def verified_links(sets: DataFrame, placed: DataFrame) -> DataFrame:
+    """(a, b): links between entities of one cluster, enough to connect all that are similar.
+
+    Small clusters share groups; a large one is dealt into blocks, and each pair of blocks is a group.
+    """
+    bins = int((placed.agg(F.sum("n")).first()[0] or 0) // GROUP_TOKENS) + 1
     single = F.col("blocks") == 1
     block = F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int")
     others = F.when(single, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    grouped = sets.select("entity", "shingles").join(_small(placed), "entity").select(
+    grouped = sets.select("entity", "shingles").join(_small(placed.drop("n")), "entity").select(
         "cluster", "entity", "shingles", single.alias("single"), block.alias("block"), F.explode(others).alias("other"),
     ).select(
         "cluster", "entity", "shingles",
@@ -368,9 +413,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     texts = rows.alias("t").join(_small(wanted).alias("w"), same("t", "w", ["doc_id", "text_hash"])).select("entity", "cluster", "text")
     sets = stored(texts.mapInArrow(_with_sets, "entity long, cluster long, n long, shingles binary"), "sets")
     met = stored(clusters(sets.select("entity", "cluster", "shingles").mapInArrow(_later_lists(heavy, 1), _LISTS)), "clusters")
-    again = sets.drop("cluster").join(_small(met), "entity")
-    met = stored(clusters(rarest_lists(again)), "clusters")
-    roots = components(verified_links(sets, met))
+    placed = in_blocks(sets, met)
+    links = verified_links(sets, placed.where("blocks = 1"))
+    large = placed.where("blocks > 1").select("entity", "cluster")
+    if not large.isEmpty():
+        again = sets.drop("cluster").join(_small(large), "entity")
+        met = stored(clusters(rarest_lists(again)), "clusters")
+        links = links.unionByName(verified_links(sets, in_blocks(sets, met)))
+    roots = components(links)
     whole = entities.join(roots, entities.entity == roots.node, "left").select(
         *identity, "doc_id", F.coalesce("root", "entity").alias("root")
     )

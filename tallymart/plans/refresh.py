@@ -87,13 +87,14 @@ def write_mart(warehouse: Warehouse, name: str, mart: DataFrame) -> DataFrame:
 
 
 def update_mart(warehouse: Warehouse, name: str, raw: dict[str, DataFrame], since: date) -> DataFrame:
-    """Rebuild the dates from ``since`` on of a mart with date folders, leaving earlier folders as they are.
+    """Rebuild the dates from ``since`` on, and rows without a date, of a mart with date folders; earlier folders stay.
 
-    The raw rows are cut by their own time column, which file and row-group statistics prune on. A
-    streamed log read with ``read_log(..., since)`` is cut to its recent date folders before that.
+    The raw rows are cut here by their own time column, which file and row-group statistics prune on.
+    Callers pass the whole log: the marts without date folders are built from the same rows.
     """
     folder, moment = PARTITIONED_BY[name]
-    recent = {table: rows.filter(F.col(moment) >= F.lit(since)) for table, rows in raw.items()}
+    time = F.col(moment)
+    recent = {table: rows.filter((time >= F.lit(since)) | time.isNull()) for table, rows in raw.items()}
     mart = relation(name, recent.__getitem__, {})
     warehouse.replace_folders("marts", name, mart.hint("rebalance", folder), [folder])
     return warehouse.read("marts", name).select(*mart.columns)

@@ -119,6 +119,14 @@ def test_recent_dates_are_rebuilt_alone(store, logs):
     assert store.read("marts", "mart_cost_per_user").first().total_requests == 4
 
 
+def test_rows_without_a_date_are_rebuilt_too(store, logs):
+    refresh.refresh(store, "requests", {"llm_logs_kafka": logs({}, {"timestamp": None})}, load=False)
+    grown = logs({}, {"timestamp": None}, {"timestamp": None, "user_id": "u2"})
+    refresh.refresh(store, "requests", {"llm_logs_kafka": grown}, load=False, since=datetime(2024, 1, 2).date())
+    found = {r.request_date is None: r.total_requests for r in store.read("marts", "mart_hourly_activity").collect()}
+    assert found == {True: 2, False: 1}
+
+
 def test_recent_rows_are_cut_in_the_scan(spark, tmp_path, logs):
     logs({}).write.parquet(str(tmp_path / "log"))
     raw = spark.read.parquet(str(tmp_path / "log")).filter(F.col("timestamp") >= F.lit(datetime(2024, 1, 3).date()))

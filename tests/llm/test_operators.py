@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,26 @@ def brute_jaccard(rows):
     return sorted(((r[0], len(sets[i]), least.get(root(i))) for i, r in enumerate(rows)), key=repr)
 
 
+def test_third_order_keeps_similar_sets_together():
+    """Sets of one cluster, noisy copies of a few bases with a passage that all share: no similar pair is parted."""
+    chance = np.random.default_rng(5)
+    for _ in range(40):
+        bases = [chance.choice(400, int(chance.integers(1, 60)), replace=False) for _ in range(4)]
+        sets = []
+        for _ in range(30):
+            base = bases[chance.integers(4)]
+            kept = base[chance.random(len(base)) < chance.choice([0.8, 0.9, 1.0])]
+            sets.append(np.unique(np.concatenate([kept, [1000, 1001], chance.integers(2000, 2400, chance.integers(0, 5))])))
+        token = np.concatenate(sets).astype(np.uint64)
+        at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        part_of = {int(i): n for n, part in enumerate(jaccard.split_by_rarest(token, at)) for i in part}
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                shared = len(np.intersect1d(a, b))
+                if 100 * shared >= 80 * (len(a) + len(b) - shared):
+                    assert part_of[i] == part_of[j]
+
+
 def test_jaccard_matches_brute_force(spark, monkeypatch):
     rows = fixture_rows(4)
     assert got(jaccard.digest(frame(spark, rows))) == brute_jaccard(rows)

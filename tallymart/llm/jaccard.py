@@ -1,9 +1,10 @@
 """Near copies: documents whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
 
 A set of n shingles that is similar to another shares, under any order of all shingles, one of its
-first n - ceil(0.8 n) + 1 with the other's. Three orders are used: two put shingles that many documents
+first n - ceil(0.8 n) + 1 with the other's. Three orders are used: two put shingles that many sets
 share last and otherwise follow different hashes, the third is the exact order by frequency among the
-sets that are left. Sets that meet in some prefix list form clusters. Clusters of the first order are
+sets that are left. Before that, sets drop out of which fewer than 0.8 n shingles occur in any other set: an order
+that puts unshared shingles first would leave them no prefix list. Sets that meet in some prefix list form clusters. Clusters of the first order are
 split by the second order's lists inside each cluster, and again by the third's, so a candidate shares
 prefix shingles under every order, and only candidates are compared exactly. A cluster of up to half of
 ``GROUP_TOKENS`` is brought together after the second order and split by the third and compared in one
@@ -14,7 +15,8 @@ comparison inside a cluster walks from each set to the ones not reached yet. Equ
 from the start. A cluster over ``GROUP_TOKENS`` is compared in pairs of blocks, so memory stays bounded
 while every pair of sets still meets once.
 
-Shingles and sets are compared by 64-bit hashes, sets additionally by a second sum.
+Shingles and sets are compared by 64-bit hashes, sets additionally by a second sum. The count of shared shingles
+works on shorter hashes, which can only raise it.
 
 Edge cases: null texts and texts without words have empty sets and are linked with nothing; their
 component is their own id. Fewer than five words make one shingle. Documents that repeat an id are
@@ -46,6 +48,10 @@ REPEATED = 2
 LIST_ROWS = 20_000
 #: Shingles that are held at once while sets are compared.
 GROUP_TOKENS = 4_000_000
+#: Shingles, or sets, that a task remembers while it counts shared shingles.
+REMEMBERED = 1 << 20
+#: Sets whose counts of shared shingles are summed in one call.
+BUCKET_ROWS = 200_000
 #: Candidate sets whose keys are broadcast to fetch their texts; more are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -100,10 +106,10 @@ def _prefixes(token: np.ndarray, offsets: np.ndarray, order: int, heavy: tuple[n
 
 
 def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """One binary value per document from a flat array of 64-bit values."""
+    """One binary value per row from a flat array of numbers."""
     return pa.Array.from_buffers(
         pa.binary(), len(offsets) - 1,
-        [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))],
+        [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))],
     )
 
 
@@ -120,28 +126,22 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def _common_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, n): shingles of several different sets of a batch."""
+    """(token, n): shingles of several sets of a batch."""
     for batch in batches:
-        parts, seen = [], set()
-        for _, data, offsets in chunks(batch, "text"):
-            token, at = shingle_sets(data, offsets)
-            keys = _sums(scramble(token), at)
-            new = np.array([k not in seen and not seen.add(k) for k in keys.tolist()], bool)
-            parts.append(token[np.repeat(new, np.diff(at))])
-        token, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, int))
+        token, n = np.unique(_flat(batch.column("shingles"))[0], return_counts=True)
         often = n >= REPEATED
         yield pa.RecordBatch.from_arrays([pa.array(_signed(token[often])), pa.array(n[often])], ["token", "n"])
 
 
-def common_shingles(docs: DataFrame, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(sets: DataFrame, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, weights), sorted: the commonest shingles, ``most`` at the most.
 
-    Only shingles that repeat inside some batch are counted: a shingle of many documents does.
+    Only shingles that repeat inside some batch are counted: a shingle of many sets does.
     The weight decides an order of shingles and nothing else, so neither the batches nor the limit
     change what is found.
     """
     counted = stored(
-        docs.select("text").mapInArrow(_common_in_batch, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")),
+        sets.select("shingles").mapInArrow(_common_in_batch, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")),
         "common-shingles",
     )
     classes = counted.groupBy(F.floor(F.log2("n")).alias("c")).count().orderBy(F.desc("c")).collect()
@@ -159,20 +159,125 @@ def common_shingles(docs: DataFrame, most: int = HEAVY) -> tuple[np.ndarray, np.
     return token[order], chosen["n"].to_numpy(np.int64)[order]
 
 
-def _describe(heavy) -> Callable:
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row, data, offsets in chunks(batch, "text"):
+            token, at = shingle_sets(data, offsets)
+            part = batch.slice(row, len(offsets) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(at)),
+                 pa.array(_signed(_sums(scramble(token), at))), pa.array(_signed(_sums(scramble(~token), at)))],
+                ["doc_id", "text_hash", "n_shingles", "entity", "check"],
+            )
+
+
+_OCCURRENCES = "part long, tokens binary, marks binary, entities binary, counts binary"
+
+
+def _occurrences(parts: int, buckets: int) -> Callable:
+    """Shingles that a task has met in one set only, by part of the hash range, with their sets.
+
+    A shingle that the task has met in two sets is shared for sure: it is sent once, as a mark without sets, and its sets'
+    counts go to negative parts, one for each bucket of sets. So a common shingle costs a few rows a task.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = np.zeros(0, np.uint64), set()
         for batch in batches:
-            for row, data, offsets in chunks(batch, "text"):
+            for _, data, offsets in chunks(batch, "text"):
                 token, at = shingle_sets(data, offsets)
-                prefix, _, cut = _prefixes(token, at, 0, heavy.value)
-                part = batch.slice(row, len(offsets) - 1)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(at)),
-                    pa.array(_signed(_sums(scramble(token), at))), pa.array(_signed(_sums(scramble(~token), at))),
-                    _binary(prefix, cut),
-                ], ["doc_id", "text_hash", "n_shingles", "entity", "check", "prefix"])
+                sizes = np.diff(at)
+                entity = _sums(scramble(token), at)
+                new = np.array([n > 0 and e not in seen and not seen.add(e) for e, n in zip(entity.tolist(), sizes.tolist())], bool)
+                token, owner = token[np.repeat(new, sizes)], np.repeat(entity, np.where(new, sizes, 0))
+                order = np.argsort(token, kind="stable")
+                token, owner = token[order], owner[order]
+                starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
+                times, distinct = np.diff(np.append(starts, len(token))), token[starts]
+                old = np.isin(distinct, known, assume_unique=True, kind="sort")
+                marks = distinct[(times > 1) & ~old]
+                here = np.repeat((times > 1) | old, times)
+                yield _by_part(token[~here], owner[~here], marks, parts)
+                yield _by_bucket(*np.unique(owner[here], return_counts=True), buckets)
+                known = np.union1d(known, marks) if len(known) < REMEMBERED else marks
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+
+    return spread
+
+
+def _by_part(token: np.ndarray, owner: np.ndarray, marks: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part of the hash range: low halves of its shingles in the order of their sets, and of its marks."""
+    part, mark_part = ((x >> np.uint64(32)) % np.uint64(parts) for x in (token, marks))
+    order, mark_order = np.lexsort((owner, part)), np.argsort(mark_part, kind="stable")
+    token, owner, part = token[order], owner[order], part[order]
+    runs = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])])) if len(token) else np.zeros(0, int)
+    every = np.unique(np.concatenate([part, mark_part]))
+
+    def cut(values: np.ndarray) -> np.ndarray:
+        return np.append(np.searchsorted(values, every), len(values))
+
+    return pa.RecordBatch.from_arrays([
+        pa.array(_signed(every)), _binary(token.astype(np.uint32), cut(part)),
+        _binary(marks[mark_order].astype(np.uint32), cut(mark_part[mark_order])),
+        _binary(owner[runs], cut(part[runs])), _binary(np.diff(np.append(runs, len(token))).astype(np.uint32), cut(part[runs])),
+    ], [name.split()[0] for name in _OCCURRENCES.split(", ")])
+
+
+def _by_bucket(entity: np.ndarray, count: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Counts of shared shingles, a row for each bucket of sets; buckets are negative parts."""
+    bucket = (scramble(entity) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    every, first = np.unique(bucket[order], return_index=True)
+    cut = np.append(first, len(order))
+    none = _binary(np.zeros(0, np.uint32), np.zeros(len(every) + 1, np.int64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(-1 - every), none, none, _binary(entity[order], cut), _binary(count[order].astype(np.uint32), cut)],
+        [name.split()[0] for name in _OCCURRENCES.split(", ")],
+    )
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """All values of a binary column."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
-    return describe
+
+def _count_shared(buckets: int) -> Callable:
+    """Counts of shared shingles of one part of the hash range, by bucket of sets."""
+
+    def count(group: pa.Table) -> pa.Table:
+        if group.column("part")[0].as_py() >= 0:
+            token, marks = _joined(group.column("tokens"), np.uint32), _joined(group.column("marks"), np.uint32)
+            owner = np.repeat(_joined(group.column("entities"), np.uint64), _joined(group.column("counts"), np.uint32))
+            order = np.argsort(token, kind="stable")
+            token, owner = token[order], owner[order]
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
+            shared = np.isin(token[starts], marks)
+            if len(starts):
+                shared |= np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
+            here = np.repeat(shared, np.diff(np.append(starts, len(token))))
+            group = pa.Table.from_batches([_by_bucket(*np.unique(owner[here], return_counts=True), buckets)])
+        return group.select(["part", "entities", "counts"])
+
+    return count
+
+
+def _add_up(group: pa.Table) -> pa.Table:
+    entity, place = np.unique(_joined(group.column("entities"), np.uint64), return_inverse=True)
+    total = np.bincount(place, _joined(group.column("counts"), np.uint32), len(entity)).astype(np.int64)
+    return pa.table({"entity": _signed(entity), "shared": total})
+
+
+def shared_shingles(docs: DataFrame, shingles: int, sets: int) -> DataFrame:
+    """(entity, shared): how many of a set's shingles occur in other sets, or more than that; sets without any are left out.
+
+    ``shingles`` and ``sets`` are the numbers in all ``docs``; they decide how finely work is cut.
+    Shingles travel as packed halves of hashes, so that a set costs little more than four bytes a shingle.
+    """
+    parts, buckets = shingles // GROUP_TOKENS + 1, sets // BUCKET_ROWS + 1
+    spread = docs.select("text").mapInArrow(_occurrences(parts, buckets), _OCCURRENCES)
+    counted = spread.groupBy("part").applyInArrow(_count_shared(buckets), "part long, entities binary, counts binary")
+    return counted.groupBy("part").applyInArrow(_add_up, "entity long, shared long")
 
 
 _LISTS = "list long, parent long, entity long"
@@ -189,28 +294,17 @@ def _lists(keys: np.ndarray, weights: np.ndarray, entity: np.ndarray) -> pa.Reco
     )
 
 
-def _first_lists(heavy) -> Callable:
-    """Lists of the first order's prefixes."""
-
-    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, at = _flat(batch.column("prefix"))
-            entity = np.repeat(batch.column("entity").to_numpy(), np.diff(at))
-            yield _lists(token, _weights(token, heavy.value), entity)
-
-    return lists
-
-
-def _later_lists(heavy, order: int) -> Callable:
-    """Lists of a later order's prefixes; a list belongs to one cluster."""
+def _order_lists(heavy, order: int) -> Callable:
+    """Lists of the prefixes under one order; a list belongs to one cluster, if there are clusters."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             token, at = _flat(batch.column("shingles"))
             prefix, weight, cut = _prefixes(token, at, order, heavy.value)
             sizes = np.diff(cut)
-            cluster = np.repeat(batch.column("cluster").to_numpy().view(np.uint64), sizes)
-            yield _lists(scramble(prefix + scramble(cluster)), weight, np.repeat(batch.column("entity").to_numpy(), sizes))
+            if "cluster" in batch.schema.names:
+                prefix = scramble(prefix + scramble(np.repeat(batch.column("cluster").to_numpy().view(np.uint64), sizes)))
+            yield _lists(prefix, weight, np.repeat(batch.column("entity").to_numpy(), sizes))
 
     return lists
 
@@ -265,8 +359,7 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token, at = shingle_sets(data, offsets)
             part = batch.slice(row, len(offsets) - 1)
             made = pa.RecordBatch.from_arrays(
-                [part.column("entity"), part.column("cluster"), pa.array(np.diff(at)), _binary(token, at)],
-                ["entity", "cluster", "n", "shingles"],
+                [part.column("entity"), pa.array(np.diff(at)), _binary(token, at)], ["entity", "n", "shingles"],
             )
             once = np.unique(part.column("entity").to_numpy(), return_index=True)[1]  # repeated rows bring a set again
             yield made if len(once) == len(part) else made.take(pa.array(np.sort(once)))
@@ -396,28 +489,30 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id and root, the component's own key (null without words)."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    heavy = spark.sparkContext.broadcast(common_shingles(rows))
     described = stored(
-        rows.mapInArrow(_describe(heavy), "doc_id long, text_hash long, n_shingles long, entity long, check long, prefix binary"),
-        "shingle-prefixes",
+        rows.mapInArrow(_describe, "doc_id long, text_hash long, n_shingles long, entity long, check long"), "shingle-counts"
     )
     identity = ["entity", "check"]
-    prefixed = (
+    entities = stored(
         described.where("n_shingles > 0").groupBy(*identity)
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("of"), F.first("prefix").alias("prefix"))
-        .select(*identity, "of.doc_id", "of.text_hash", "prefix")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("of"), F.first("n_shingles").alias("n"))
+        .select(*identity, "of.doc_id", "of.text_hash", "n"),
+        "entities",
     )
-    met = stored(clusters(prefixed.select("entity", "prefix").mapInArrow(_first_lists(heavy), _LISTS)), "clusters")
-    entities = stored(prefixed.drop("prefix"), "entities")
-    wanted = stored(entities.join(met, "entity"), "candidates")
-    texts = rows.alias("t").join(_small(wanted).alias("w"), same("t", "w", ["doc_id", "text_hash"])).select("entity", "cluster", "text")
-    sets = stored(texts.mapInArrow(_with_sets, "entity long, cluster long, n long, shingles binary"), "sets")
-    met = stored(clusters(sets.select("entity", "cluster", "shingles").mapInArrow(_later_lists(heavy, 1), _LISTS)), "clusters")
+    sizes = entities.agg(F.sum("n"), F.count("*")).first()
+    shared = shared_shingles(rows, sizes[0] or 0, sizes[1])
+    wanted = stored(entities.join(shared, "entity").where(100 * F.col("shared") >= PERCENT * F.col("n")), "candidates")
+    texts = rows.alias("t").join(_small(wanted).alias("w"), same("t", "w", ["doc_id", "text_hash"])).select("entity", "text")
+    sets = stored(texts.mapInArrow(_with_sets, "entity long, n long, shingles binary"), "sets")
+    heavy = spark.sparkContext.broadcast(common_shingles(sets))
+    met = stored(clusters(sets.select("entity", "shingles").mapInArrow(_order_lists(heavy, 0), _LISTS)), "clusters")
+    again = sets.join(_small(met), "entity").select("entity", "cluster", "shingles")
+    met = stored(clusters(again.mapInArrow(_order_lists(heavy, 1), _LISTS)), "clusters")
     placed = in_blocks(sets, met)
     links = verified_links(sets, placed.where("blocks = 1"))
     large = placed.where("blocks > 1").select("entity", "cluster")
     if not large.isEmpty():
-        again = sets.drop("cluster").join(_small(large), "entity")
+        again = sets.join(_small(large), "entity")
         met = stored(clusters(rarest_lists(again)), "clusters")
         links = links.unionByName(verified_links(sets, in_blocks(sets, met)))
     roots = components(links)

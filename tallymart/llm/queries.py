@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, mixing, quality, recompression, sharding, suffixdedup, tokencount, urlfilter, warc
+from . import (balltree, decontamination, fim, jaccard, mixing, quality, recompression, sharding, suffixdedup, tokencount, urlfilter,
+               vectorcodes, warc)
 from ..session import scratch_dir
 from .common import table
 
@@ -53,10 +54,22 @@ def op10_recompression(spark: SparkSession, path: str) -> DataFrame:
     return recompression.digest(table(spark, path, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, path: str) -> DataFrame:
+    return vectorcodes.digest(table(spark, path, "embeddings"))
+
+
+def op12_ball_tree_search(spark: SparkSession, path: str) -> DataFrame:
+    return balltree.digest(table(spark, path, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, path: str) -> DataFrame:
+    return fim.digest(table(spark, path, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_mix_to_weights, op2_decontaminate, op3_warc_revisits, op4_quality_ledger, op5_url_filter, op6_token_counts, op7_jaccard_join, op8_jump_shards,
-        op9_suffix_dedup, op10_recompression,
+        op9_suffix_dedup, op10_recompression, op11_vector_codes, op12_ball_tree_search, op13_fill_in_middle,
     )
 }
 ORACLE: dict[str, str] = {
@@ -66,4 +79,7 @@ ORACLE: dict[str, str] = {
     "op5_url_filter": urlfilter.SQL,
     "op7_jaccard_join": jaccard.SQL,
     "op10_recompression": recompression.SQL,
+    "op11_vector_codes": vectorcodes.SQL,
+    "op12_ball_tree_search": balltree.SQL,
+    "op13_fill_in_middle": fim.SQL,
 }

@@ -24,6 +24,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_rows(df: DataFrame, *keys) -> DataFrame:
+    """Each row as one struct ``row`` beside the keys, so that no name of the caller's meets one of ours."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *keys)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     plain = F.octet_length(text) == F.length(text)

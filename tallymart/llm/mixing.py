@@ -5,10 +5,9 @@ part is taken for sure, the rest is a fractional probability. Two documents of a
 probability so that the expected words stay what they were, until one of the two is settled; the
 other meets the next document. Groups of documents run in parallel, each leaves one unsettled
 document, and these residuals meet in groups again, level by level. What a source takes differs from
-its target by less than its last residual document.
+its target by less than its last residual document, which is often a large one: a small partner moves little of it.
 
-Documents meet from the largest to the smallest, so the last residual tends to be small. Chance comes
-from hashes of the data and a seed: reruns agree.
+Documents meet from the largest to the smallest. Chance comes from the groups' numbers and a seed: reruns agree.
 
 Edge cases: a null text has no words; a document without words gets the whole copies and a coin toss
 for the rest. A null source is a source, ranked last. Repeated rows (same id, source and text) are
@@ -21,12 +20,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import count_words, same, stored
+from .common import as_rows, count_words, same, stored
 
 #: Documents that are settled by one task call; a larger source forms more groups.
 GROUP = 2048
@@ -72,12 +71,13 @@ def targets(sources: DataFrame, share: float, most: float) -> DataFrame:
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
-def _settle(group: pd.DataFrame, seed: int) -> pd.DataFrame:
+def _settle(group: pa.Table, seed: int) -> pa.Table:
     """Trade probability along the group; at most one document stays open, unless the group is the last of its source."""
-    group = group.sort_values(["mass", "text_hash", "has_id", "doc"], ascending=[False, True, True, True]).reset_index(drop=True)
-    rank, grp, groups = (int(group[name].iloc[0]) for name in ("rank", "grp", "groups"))
-    chance = np.random.default_rng([seed, rank, grp, groups]).random(2 * len(group) + 1).tolist()
-    mass, part = group["mass"].tolist(), group["part"].tolist()
+    column = {name: group.column(name).to_numpy() for name in ("has_id", "doc", "text_hash", "mass", "part")}
+    order = np.lexsort((column["doc"], ~column["has_id"], column["text_hash"], -column["mass"]))
+    rank, grp, groups = (group.column(name)[0].as_py() for name in ("rank", "grp", "groups"))
+    chance = np.random.default_rng([seed, rank, grp, groups]).random(2 * len(order) + 1).tolist()
+    mass, part = column["mass"][order].tolist(), column["part"][order].tolist()
     copies = [-1] * len(mass)
     held = -1
     for i, (a, p) in enumerate(zip(mass, part)):
@@ -100,10 +100,13 @@ def _settle(group: pd.DataFrame, seed: int) -> pd.DataFrame:
         held = i if copies[i] < 0 else held if copies[held] < 0 else -1
     if held >= 0 and groups == 1:
         copies[held] = int(chance[-1] < part[held])
-    return group.assign(copies=np.array(copies, np.int32), part=part)
+    made = group.take(pa.array(order))
+    for name, values in (("copies", pa.array(copies, pa.int32())), ("part", pa.array(part, pa.float64()))):
+        made = made.set_column(made.column_names.index(name), name, values)
+    return made
 
 
-def _round(seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _round(seed: int) -> Callable[[pa.Table], pa.Table]:
     return lambda group: _settle(group, seed)
 
 
@@ -136,7 +139,7 @@ def plan_mix(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share:
     width = aimed.agg(F.max(F.ceil(F.col("n_docs") / group))).first()[0] or 1
     decided = None
     for depth in range(64):
-        done = level.select(*columns).groupBy("rank", "grp").applyInPandas(_round(seed + depth), _UNIT)
+        done = level.select(*columns).groupBy("rank", "grp").applyInArrow(_round(seed + depth), _UNIT)
         done = stored(done, "mix-level")
         settled = done.where("copies >= 0")
         decided = settled if decided is None else decided.unionByName(settled)
@@ -161,10 +164,9 @@ def repeating_weights(cycle: tuple[float, ...]) -> Callable[[DataFrame], DataFra
 def mixed(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it."""
     plan = plan_mix(docs, weights, share, most).where("copies > 0")
-    rows = docs.withColumn("_hash", F.xxhash64("text")).alias("t")
-    match = same("t", "p", ["doc_id", "source"]) & (F.col("t._hash") == F.col("p.text_hash"))
-    repeated = rows.join(plan.alias("p"), match).select("t.*", F.explode(F.sequence(F.lit(1), F.col("p.copies"))).alias("_copy"))
-    return repeated.select(*docs.columns)
+    rows = as_rows(docs, "doc_id", "source", F.xxhash64("text").alias("text_hash")).alias("t")
+    taken = rows.join(plan.alias("p"), same("t", "p", ["doc_id", "source", "text_hash"]))
+    return taken.select("t.row", F.explode(F.sequence(F.lit(1), F.col("p.copies")))).select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, words
+from .common import as_rows, let, words
 
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
@@ -135,7 +135,7 @@ def ablation(entries: DataFrame, policies: list[Policy]) -> DataFrame:
 
 def kept_documents(docs: DataFrame, policy: Policy) -> DataFrame:
     """The rows of ``docs`` that a policy keeps, with the columns of ``docs``."""
-    return ledger(docs.select("text", F.struct(*docs.columns).alias("_row"))).where(~rejected(policy)).select("_row.*")
+    return ledger(as_rows(docs, "text")).where(~rejected(policy)).select("row.*")
 
 
 def digest(docs: DataFrame, policy: Policy = POLICIES["v1"]) -> DataFrame:

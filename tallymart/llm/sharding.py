@@ -60,26 +60,33 @@ def with_slots(df: DataFrame, order: list[str], buckets: int = SLOT_BUCKETS) ->
     counts summed up within each shard, and each bucket numbers its own rows from its offset. No task
     holds a shard: the largest group is one bucket, and only counts are summed in one place.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    before = W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    kept = [F.col(f"`{name}`") for name in df.columns if name != "slot"]
+    keyed = df.select(F.struct(*kept).alias("row"), F.col("shard").alias("of"), F.struct(*order).alias("at"))
+    return _numbered(keyed, buckets).select("row.*", "slot")
+
+
+def _numbered(keyed: DataFrame, buckets: int) -> DataFrame:
+    """Add ``slot`` to rows of (row, of, at), ``at`` being the order inside the shard ``of``."""
+    bucketed = keyed.withColumn("bucket", F.pmod(F.xxhash64("at"), F.lit(buckets)).cast("int"))
+    before = W.partitionBy("of").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inside = W.partitionBy("shard", "_bucket").orderBy(*order)
-    return (
-        bucketed.withColumn("_place", F.row_number().over(inside) - 1)
-        .join(offsets, ["shard", "_bucket"])
-        .withColumn("slot", F.col("_offset") + F.col("_place"))
-        .select(*[name for name in df.columns if name != "slot"], "slot")
+        bucketed.groupBy("of", "bucket").agg(F.count("*").alias("n"))
+        .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .drop("n")
     )
+    place = F.row_number().over(W.partitionBy("of", "bucket").orderBy("at")) - 1
+    return bucketed.withColumn("place", place).join(offsets, ["of", "bucket"]).withColumn("slot", F.col("offset") + F.col("place"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, key: str = "doc_id") -> DataFrame:
     """``docs`` with ``shard``, ``grown_shard`` and ``slot``; order inside a shard follows key and text."""
-    placed = assign(docs, key, shards).withColumn("_text_hash", F.xxhash64("text"))
-    return with_slots(placed, [key, "_text_hash"]).drop("_text_hash")
+    hashed = F.xxhash64(F.col(f"`{key}`"))
+    own = [F.col(f"`{name}`") for name in docs.columns if name not in ("shard", "grown_shard", "slot")]
+    placed = docs.select(
+        F.struct(*own, shard_of(hashed, shards).alias("shard"), shard_of(hashed, shards + 1).alias("grown_shard")).alias("row"),
+        F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64("text").alias("text_hash")).alias("at"),
+    )
+    return _numbered(placed.select("row", F.col("row.shard").alias("of"), "at"), SLOT_BUCKETS).select("row.*", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -46,12 +46,26 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def places(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) behind a column of texts or binary values without nulls, whichever width its offsets have."""
+    kind = column.type
+    if pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+        width = np.int64
+    elif pa.types.is_string(kind) or pa.types.is_binary(kind):
+        width = np.int32
+    else:
+        raise TypeError(f"texts or binary values are needed, not {kind}")
+    if not len(column):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    at = np.frombuffer(column.buffers()[1], width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    body = column.buffers()[2]
+    return at, np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of consecutive rows; a null text is empty."""
     texts = batch.column(column).fill_null("")
-    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-    body = texts.buffers()[2]
-    data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+    at, data = places(texts)
     row = 0
     while row < len(texts):
         end = max(int(np.searchsorted(at, at[row] + limit, "right")) - 1, row + 1)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import count_words, stored, words
-from .flat import chunks, prefix_sums, scramble, span_hash, word_bounds, word_hashes
+from .flat import chunks, places, prefix_sums, scramble, span_hash, word_bounds, word_hashes
 from .spans import batch_of, by_text, classes, compared, consecutive, forget, mask, of_documents, runs, unique_texts
 
 WINDOW = 35
@@ -183,9 +183,8 @@ def fetch_windows(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, len
 
 def match_windows(batch: pa.RecordBatch, length: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows that another context has too, as (row, first window, number)."""
-    contexts = batch.column("context")
-    at = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset:contexts.offset + len(contexts) + 1]
-    hashes = np.frombuffer(contexts.buffers()[2], np.uint8)[at[0]:at[-1]].view(np.uint64).reshape(-1, 2)
+    at, data = places(batch.column("context"))
+    hashes = data[at[0]:at[-1]].view(np.uint64).reshape(-1, 2)
     row = np.repeat(np.arange(len(length)), length)
     window = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
     order = np.lexsort((hashes[:, 1], hashes[:, 0]))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .flat import byte_values, chunks, inverse_powers, prefix_sums, scramble, span_hash
+from .flat import byte_values, chunks, inverse_powers, places, prefix_sums, scramble, span_hash
 from .spans import batch_of, by_text, classes, compared, consecutive, forget, mask, of_documents, runs, unique_texts
 
 WINDOW = 100
@@ -71,8 +71,7 @@ def find_runs(batch: pa.RecordBatch) -> Iterator[tuple]:
 def fetch_contexts(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
     """The bytes that each run's windows cover."""
     texts = batch.column("text")
-    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-    data = np.frombuffer(texts.buffers()[2], np.uint8)
+    at, data = places(texts)
     sizes = length.astype(np.int64) + (WINDOW - 1)
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     index = np.arange(offsets[-1]) + np.repeat(at[row] + start - offsets[:-1], sizes)
@@ -164,9 +163,8 @@ def _common(a: bytes, b: bytes) -> int:
 
 def match_windows(batch: pa.RecordBatch, length: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of the contexts that an earlier context has too, as (row, first window, number)."""
-    contexts = batch.column("context")
-    at = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset:contexts.offset + len(contexts) + 1].astype(np.int64)
-    data = np.frombuffer(contexts.buffers()[2], np.uint8)[at[0]:at[-1]]
+    at, data = places(batch.column("context"))
+    data = data[at[0]:at[-1]]
     at = at - at[0]
     group = np.unique(batch.column("anchor").to_numpy(), return_inverse=True)[1]
     off = off.astype(np.int64)

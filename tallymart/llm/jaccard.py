@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import same, stored
+from .common import as_rows, same, stored
 from .components import components
-from .flat import chunks, grams, lower_ascii, scramble, word_bounds, word_hashes
+from .flat import chunks, grams, lower_ascii, places, scramble, word_bounds, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
@@ -47,11 +47,16 @@ REPEATED = 2
 #: Members of a list that stay together; longer lists are split, and their stars meet in their centres.
 LIST_ROWS = 20_000
 #: Shingles that are held at once while sets are compared.
-GROUP_TOKENS = 4_000_000
-#: Shingles, or sets, that a task remembers while it counts shared shingles.
-REMEMBERED = 1 << 20
-#: Sets whose counts of shared shingles are summed in one call.
-BUCKET_ROWS = 200_000
+GROUP_TOKENS = 2_000_000
+#: Occurrences of shingles that are brought together at once to see which ones several sets share.
+PART_TOKENS = 600_000
+#: Counts of sets that are added up in one call.
+BUCKET_COUNTS = 2_000_000
+#: Shingles whose order is worked out at once.
+SLICE_TOKENS = 250_000
+#: Shingles and sets that a task remembers while it counts shared shingles.
+REMEMBERED = 1 << 19
+REMEMBERED_SETS = 1 << 17
 #: Candidate sets whose keys are broadcast to fetch their texts; more are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -115,20 +120,30 @@ def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat array of 64-bit values and offsets of a binary column without nulls."""
-    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] // 8
-    body = column.buffers()[2]
-    values = np.frombuffer(body, np.uint8)[:at[-1] * 8].view(np.uint64) if body is not None else np.zeros(0, np.uint64)
-    return values[at[0]:at[-1]], (at - at[0]).astype(np.int64)
+    at, data = places(column)
+    return data[at[0]:at[-1]].view(np.uint64), (at - at[0]) // 8
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, shingles, offsets) of slices of batches with ``shingles``, so that a slice's arrays stay small."""
+    for batch in batches:
+        at = places(batch.column("shingles"))[0] // 8
+        row = 0
+        while row < len(batch):
+            end = max(int(np.searchsorted(at, at[row] + SLICE_TOKENS, "right")) - 1, row + 1)
+            part = batch.slice(row, end - row)
+            yield part, *_flat(part.column("shingles"))
+            row = end
+
+
 def _common_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, n): shingles of several sets of a batch."""
-    for batch in batches:
-        token, n = np.unique(_flat(batch.column("shingles"))[0], return_counts=True)
+    for _, token, _ in _pieces(batches):
+        token, n = np.unique(token, return_counts=True)
         often = n >= REPEATED
         yield pa.RecordBatch.from_arrays([pa.array(_signed(token[often])), pa.array(n[often])], ["token", "n"])
 
@@ -200,7 +215,7 @@ def _occurrences(parts: int, buckets: int) -> Callable:
                 yield _by_part(token[~here], owner[~here], marks, parts)
                 yield _by_bucket(*np.unique(owner[here], return_counts=True), buckets)
                 known = np.union1d(known, marks) if len(known) < REMEMBERED else marks
-                if len(seen) > REMEMBERED:
+                if len(seen) > REMEMBERED_SETS:
                     seen.clear()
 
     return spread
@@ -243,23 +258,25 @@ def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 
 
 def _count_shared(buckets: int) -> Callable:
-    """Counts of shared shingles of one part of the hash range, by bucket of sets."""
+    """How many of a set's shingles in one part of the hash range others have too, by bucket of sets; counts pass through."""
 
-    def count(group: pa.Table) -> pa.Table:
+    def run(group: pa.Table) -> pa.Table:
         if group.column("part")[0].as_py() >= 0:
             token, marks = _joined(group.column("tokens"), np.uint32), _joined(group.column("marks"), np.uint32)
-            owner = np.repeat(_joined(group.column("entities"), np.uint64), _joined(group.column("counts"), np.uint32))
+            entity, place = np.unique(_joined(group.column("entities"), np.uint64), return_inverse=True)
+            owner = np.repeat(place.astype(np.int32), _joined(group.column("counts"), np.uint32))
             order = np.argsort(token, kind="stable")
             token, owner = token[order], owner[order]
+            del order, place
             starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
             shared = np.isin(token[starts], marks)
             if len(starts):
                 shared |= np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-            here = np.repeat(shared, np.diff(np.append(starts, len(token))))
-            group = pa.Table.from_batches([_by_bucket(*np.unique(owner[here], return_counts=True), buckets)])
+            count = np.bincount(owner[np.repeat(shared, np.diff(np.append(starts, len(token))))], minlength=len(entity))
+            group = pa.Table.from_batches([_by_bucket(entity[count > 0], count[count > 0], buckets)])
         return group.select(["part", "entities", "counts"])
 
-    return count
+    return run
 
 
 def _add_up(group: pa.Table) -> pa.Table:
@@ -271,10 +288,12 @@ def _add_up(group: pa.Table) -> pa.Table:
 def shared_shingles(docs: DataFrame, shingles: int, sets: int) -> DataFrame:
     """(entity, shared): how many of a set's shingles occur in other sets, or more than that; sets without any are left out.
 
-    ``shingles`` and ``sets`` are the numbers in all ``docs``; they decide how finely work is cut.
+    ``shingles`` and ``sets`` are the numbers in all ``docs``; they decide how finely work is cut. A part sends one count for
+    each of its sets, so there are at most ``sets`` times parts of them, and no more than shingles.
     Shingles travel as packed halves of hashes, so that a set costs little more than four bytes a shingle.
     """
-    parts, buckets = shingles // GROUP_TOKENS + 1, sets // BUCKET_ROWS + 1
+    parts = shingles // PART_TOKENS + 1
+    buckets = min(sets * parts, shingles) // BUCKET_COUNTS + 1
     spread = docs.select("text").mapInArrow(_occurrences(parts, buckets), _OCCURRENCES)
     counted = spread.groupBy("part").applyInArrow(_count_shared(buckets), "part long, entities binary, counts binary")
     return counted.groupBy("part").applyInArrow(_add_up, "entity long, shared long")
@@ -298,8 +317,7 @@ def _order_lists(heavy, order: int) -> Callable:
     """Lists of the prefixes under one order; a list belongs to one cluster, if there are clusters."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, at = _flat(batch.column("shingles"))
+        for batch, token, at in _pieces(batches):
             prefix, weight, cut = _prefixes(token, at, order, heavy.value)
             sizes = np.diff(cut)
             if "cluster" in batch.schema.names:
@@ -311,8 +329,7 @@ def _order_lists(heavy, order: int) -> Callable:
 
 def _all_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (list, entity, need): every shingle inside its cluster; ``need`` of a set's shingles a similar set has."""
-    for batch in batches:
-        token, at = _flat(batch.column("shingles"))
+    for batch, token, at in _pieces(batches):
         sizes = np.diff(at)
         cluster = np.repeat(batch.column("cluster").to_numpy().view(np.uint64), sizes)
         entity = np.repeat(batch.column("entity").to_numpy(), sizes)
@@ -529,8 +546,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each component, repeated rows once; columns as in ``docs``.
+    """The rows of ``docs`` with the smallest id of each component; columns as in ``docs``, whatever their names.
 
+    Rows with equal id and text are one document, of which one row stays, also where other columns differ.
     Documents without words are kept. A null id counts as larger than any other.
     """
     found = stored(near_copies(docs).select("doc_id", "text_hash", "root"), "near-copies")
@@ -538,9 +556,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = found.where("root is not null").groupBy("root").agg(first).select("k.doc_id", "k.text_hash").unionByName(
         found.where("root is null").select("doc_id", "text_hash")
     )
-    rows = docs.withColumn("_hash", F.xxhash64("text")).alias("d")
-    match = F.col("k.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("k.text_hash") == F.col("d._hash"))
-    return rows.join(kept.alias("k"), match, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    keyed = as_rows(docs, "doc_id", F.xxhash64("text").alias("text_hash"))
+    return keyed.alias("d").join(kept.alias("k"), same("d", "k", ["doc_id", "text_hash"]), "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -417,6 +417,48 @@ define(
 define("stream_ingest", "SELECT * EXCLUDE (consumed_at), TRUE AS is_stamped FROM raw_logs", "raw_logs")
 define("weather_flatten", f"SELECT {city_columns('event_id // 24 % 5')}, {MOMENT}, {WEATHER_VALUES} FROM events")
 
+define(
+    "refresh_incremental",
+    f"""
+SELECT 'mart_cost_per_user' AS mart, user_id AS key, CAST(MAX(cost_usd) IS NULL AS VARCHAR) AS second_key, COUNT(*) AS requests,
+  {mean("cost_usd", 4, 6)} AS cost_usd, CAST(SUM(total_tokens) AS DOUBLE) AS tokens, ROUND(AVG(latency_ms), 0) AS avg_latency_ms
+FROM logs_s GROUP BY user_id
+UNION ALL SELECT 'mart_latency_analysis', prompt_preview, latency_category, COUNT(*), {total("cost_usd", 4, 6)}, ROUND(AVG(total_tokens), 0),
+  ROUND(AVG(latency_ms), 0) FROM logs_s GROUP BY prompt_preview, latency_category
+UNION ALL SELECT 'mart_model_comparison', model,
+  CASE WHEN AVG(latency_ms) < 5000 THEN 'fast' WHEN AVG(latency_ms) < 10000 THEN 'medium' ELSE 'slow' END, COUNT(*), {total("cost_usd", 6, 6)},
+  ROUND(CAST(SUM(total_tokens) AS DOUBLE) * 1e6 / NULLIF(CAST(SUM(CAST(ROUND(cost_usd * 1e6) AS BIGINT)) AS DOUBLE), 0)),
+  ROUND(AVG(latency_ms), 0) FROM logs_s GROUP BY model
+UNION ALL SELECT 'mart_hourly_activity', CAST(request_date AS VARCHAR), CAST(request_hour AS VARCHAR), COUNT(*), {total("cost_usd", 4, 6)},
+  CAST(COUNT(DISTINCT user_id) AS DOUBLE), ROUND(AVG(latency_ms), 0) FROM logs_s GROUP BY request_date, request_hour""",
+    "logs_s",
+)
+define(
+    "unique_users_merged",
+    """SELECT request_date, request_hour, COUNT(DISTINCT user_id) AS unique_users FROM logs_s GROUP BY ALL
+UNION ALL SELECT request_date, -1, COUNT(DISTINCT user_id) FROM logs_s GROUP BY request_date""",
+    "logs_s",
+)
+define(
+    "stream_hourly_activity",
+    f"""
+SELECT request_date, request_hour, COUNT(*) AS total_requests, CAST(SUM(total_tokens) AS BIGINT) AS total_tokens,
+  {total("cost_usd", 4, 6)} AS total_cost_usd, ROUND(AVG(latency_ms), 0) AS avg_latency_ms
+FROM logs_s GROUP BY ALL""",
+    "logs_s",
+)
+define(
+    "staging_views",
+    """
+SELECT 'stg_meter_readings' AS relation, COUNT(*) AS staged_rows, CAST(SUM(reading_hour) AS BIGINT) AS total FROM raw_readings
+UNION ALL SELECT 'stg_orders', COUNT(*), CAST(SUM(CASE WHEN status = 'completed' THEN CAST(ROUND(total_eur * 100) AS BIGINT) ELSE 0 END) AS BIGINT) FROM raw_orders
+UNION ALL SELECT 'stg_customers', COUNT(*), COUNT(DISTINCT segment) FROM raw_customers
+UNION ALL SELECT 'stg_products', COUNT(*), COUNT(DISTINCT brand) FROM raw_products
+UNION ALL SELECT 'stg_weather', COUNT(*), CAST(SUM(hour) AS BIGINT) FROM raw_weather
+UNION ALL SELECT 'stg_llm_logs', COUNT(*), CAST(SUM(CAST(ROUND(cost_usd * 1e6) AS BIGINT) + kafka_lag_ms) AS BIGINT) FROM logs_s""",
+    "raw_readings", "raw_orders", "raw_customers", "raw_products", "raw_weather", "logs_s",
+)
+
 # --- data quality ---------------------------------------------------------------------------
 
 

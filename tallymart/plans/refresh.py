@@ -1,16 +1,17 @@
-"""Domain refresh: raw tables -> staging views -> mart tables -> quality checks."""
+"""Domain refresh: raw tables -> staging views -> mart tables -> quality checks -> cost alert."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import marts, quality, staging
+from ..operators import anomaly, marts, partials, quality, staging
 from ..sources.tables import Warehouse
+from . import views
 
 # relation -> (function, the relations it reads)
 Model = tuple[Callable[..., DataFrame], list[str]]
@@ -86,20 +87,66 @@ def write_mart(warehouse: Warehouse, name: str, mart: DataFrame) -> DataFrame:
     return warehouse.read("marts", name).select(*mart.columns)
 
 
+def _recent(raw: dict[str, DataFrame], moment: str, since: date) -> dict[str, DataFrame]:
+    """Raw rows from ``since`` on and those without a time, cut by a column that file and row-group statistics prune on."""
+    time = F.col(moment)
+    return {table: rows.filter((time >= F.lit(since)) | time.isNull()) for table, rows in raw.items()}
+
+
+def _rebuilt(since: date) -> Callable[[str | None], bool]:
+    """Whether a date folder is rebuilt: dates from ``since`` on, and rows without a date."""
+    return lambda value: value is None or value >= since.isoformat()
+
+
 def update_mart(warehouse: Warehouse, name: str, raw: dict[str, DataFrame], since: date) -> DataFrame:
     """Rebuild the dates from ``since`` on, and rows without a date, of a mart with date folders; earlier folders stay.
 
-    The raw rows are cut here by their own time column, which file and row-group statistics prune on.
-    Callers pass the whole log: the marts without date folders are built from the same rows.
+    A date that has lost all its rows loses its folder.
     """
     folder, moment = PARTITIONED_BY[name]
-    time = F.col(moment)
-    recent = {table: rows.filter((time >= F.lit(since)) | time.isNull()) for table, rows in raw.items()}
-    mart = relation(name, recent.__getitem__, {})
-    warehouse.replace_folders("marts", name, mart.hint("rebalance", folder), [folder])
+    mart = relation(name, _recent(raw, moment, since).__getitem__, {})
+    warehouse.replace_folders("marts", name, mart.hint("rebalance", folder), folder, _rebuilt(since))
     return warehouse.read("marts", name).select(*mart.columns)
 
 
+def update_partials(warehouse: Warehouse, name: str, raw: dict[str, DataFrame], since: date | None) -> DataFrame:
+    """The stored per-date partials of a mart, brought up to date from the raw rows of the dates from ``since`` on.
+
+    Without ``since``, or without stored partials, all dates are built.
+    """
+    folder = "request_date"
+    stored = warehouse.exists("partials", name)
+    rows = _recent(raw, "timestamp", since) if since and stored else raw
+    (staged,) = MODELS[name][1]
+    built = partials.daily(relation(staged, rows.__getitem__, {}), name).hint("rebalance", folder)
+    if since and stored:
+        warehouse.replace_folders("partials", name, built, folder, _rebuilt(since))
+    else:
+        warehouse.replace("partials", name, built, [folder])
+    return warehouse.read("partials", name)
+
+
+def alert_rows(alert: DataFrame, top: DataFrame) -> DataFrame:
+    """The cost alert as rows of the report: amounts in ten-thousandths of a dollar, the ratio in tenths, the flag as 0 or 1."""
+
+    def units(column: str, factor: int):
+        return F.rint(F.col(column) * factor).cast("bigint")
+
+    measures = F.array(*[
+        F.struct(F.lit(name).alias("measure"), value.alias("value"))
+        for name, value in (
+            ("avg_cost_e4", units("avg_cost_usd", 10_000)), ("max_cost_last_hour_e4", units("max_cost_usd", 10_000)),
+            ("cost_ratio_e1", units("cost_ratio", 10)), ("is_anomaly", F.col("is_anomaly").cast("bigint")),
+        )
+    ])
+    row = [F.lit("stg_llm_logs").alias("relation"), F.lit("cost_usd").alias("column_name")]
+    spender = top.select(
+        F.lit("mart_cost_per_user").alias("relation"), F.col("user_id").alias("column_name"), F.lit("top_cost_e4").alias("measure"),
+        units("total_cost_usd", 10_000).alias("value"),
+    )
+    return alert.select(*row, F.inline(measures)).unionByName(spender)
+
+
 def refresh(
     warehouse: Warehouse,
     domain: str,
@@ -107,21 +154,40 @@ def refresh(
     load: bool = True,
     strict: bool = False,
     since: date | None = None,
+    incremental: bool = False,
+    as_of: datetime | None = None,
 ) -> DataFrame:
     """Rebuild a domain and report it: (domain, relation, column_name, measure, value).
 
     ``load=False`` takes ``raw`` as it stands, for a log that a stream keeps appending to. With
-    ``since``, the first date that gained rows, marts with date folders are rebuilt from that date
-    on only; the others summarise all dates and are rebuilt in full.
-    ``strict`` raises :class:`QualityError` when a check fails, after the marts are written.
+    ``since``, the first date whose rows changed, marts with date folders are rebuilt from that date
+    on only; the others summarise all dates and are rebuilt in full, or, if ``incremental``, from stored per-date
+    partials, of which the same dates are rebuilt, so that no mart reads older raw rows.
+    ``strict`` raises :class:`QualityError` when a check fails, after the marts are written. ``as_of`` adds the cost alert of the
+    hour before it to the report of the request domain, as its last step.
+
+    Loaded domains get their staging relations as views of the ``staging`` database as well. What the refresh before this one
+    superseded is deleted at the start, so readers of a table have until the next refresh to finish.
     """
+    for name in MARTS[domain]:
+        for layer in ("marts", "partials"):
+            if warehouse.exists(layer, name):
+                warehouse.drop_superseded(layer, name)
     if load:
+        for name in raw:
+            if warehouse.exists(f"raw_{domain}", name):
+                warehouse.drop_superseded(f"raw_{domain}", name)
         warehouse.load(domain, raw)
         raw = {name: warehouse.read(f"raw_{domain}", name) for name in raw}
+        views.create_staging(warehouse, domain)
     relations = dict(raw)
     for name in STAGING[domain]:
         relation(name, raw.__getitem__, relations).createOrReplaceTempView(name)
     for name in MARTS[domain]:
+        if incremental and name in partials.KEYS:
+            days = update_partials(warehouse, name, raw, since)
+            relations[name] = write_mart(warehouse, name, partials.merged(days, name))
+            continue
         if since and name in PARTITIONED_BY and warehouse.exists("marts", name):
             relations[name] = update_mart(warehouse, name, raw, since)
             continue
@@ -136,6 +202,15 @@ def refresh(
         )
         for name in [*raw, *MARTS[domain]]
     ]
+    if as_of is not None and domain == "requests":
+        moment = F.lit(as_of)
+        if incremental:
+            days = warehouse.read("partials", "mart_model_comparison")
+            recent = _recent(raw, "timestamp", (as_of - timedelta(hours=1)).date())
+            alert = anomaly.alert_from_partials(days, relation("stg_llm_logs", recent.__getitem__, {}), moment)
+        else:
+            alert = anomaly.cost_anomaly(relations["stg_llm_logs"], moment)
+        counts.append(alert_rows(alert, anomaly.dearest_user(relations["mart_cost_per_user"])))
     checks = quality.report(relations.__getitem__, [domain]).toDF(*row)
     if strict:
         results = checks.collect()  # one row per declared check, so that the checks run once

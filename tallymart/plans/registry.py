@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, pricing, prompts
-from ..operators import anomaly, enrich, marts, quality
+from ..operators import anomaly, distinct, enrich, marts, quality
 from ..schemas import REQUEST_LOG
 from ..session import scratch_dir, use_utc
 from ..sources import adapters, dimensions, events, payloads
 from ..sources.tables import Warehouse
+from ..streaming import hourly
 from ..streaming.ingest import ingest, read_log
-from . import refresh
+from . import refresh, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -292,6 +294,89 @@ def refresh_report(spark: SparkSession, path: str) -> DataFrame:
     return result
 
 
+@query
+def refresh_incremental(spark: SparkSession, path: str) -> DataFrame:
+    """The request marts after a refresh of recent dates only, in one long form.
+
+    The first log is the true one up to a date; from there on it lacks rows, has others at wrong times, and has a date that
+    will vanish. The second refresh gets the true log and the date, and rebuilds from partials.
+    """
+    store = warehouse(spark, "incremental")
+    log = adapters.llm_logs_kafka(spark, path)
+    first, last = adapters.table(spark, path, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    since = first + (last - first) / 2
+    recent = F.col("timestamp") >= F.lit(since)
+    odd = F.col("prompt_tokens") % 2 == 1
+    wrong = log.where(~recent | odd).withColumn(
+        "timestamp", F.when(recent & (F.col("prompt_tokens") % 4 == 1), F.col("timestamp") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("timestamp"))
+    )
+    refresh.refresh(store, "requests", {"llm_logs_kafka": wrong}, load=False, incremental=True)
+    refresh.refresh(store, "requests", {"llm_logs_kafka": log}, load=False, incremental=True, since=since)
+
+    def long(mart: str, key: str, second: str, requests: str, cost: str, tokens: str) -> DataFrame:
+        return store.read("marts", mart).select(
+            F.lit(mart).alias("mart"), F.col(key).cast("string").alias("key"), F.expr(second).cast("string").alias("second_key"),
+            F.col(requests).alias("requests"), F.col(cost).alias("cost_usd"), F.col(tokens).cast("double").alias("tokens"),
+            F.col("avg_latency_ms").alias("avg_latency_ms"),
+        )
+
+    return (
+        long("mart_cost_per_user", "user_id", "CAST(max_cost_usd AS STRING) IS NULL", "total_requests", "avg_cost_per_request", "total_tokens")
+        .unionByName(long("mart_latency_analysis", "prompt_preview", "latency_category", "times_asked", "total_cost_usd", "avg_tokens"))
+        .unionByName(long("mart_model_comparison", "model", "speed_category", "total_requests", "total_cost_usd", "tokens_per_dollar"))
+        .unionByName(long("mart_hourly_activity", "request_date", "request_hour", "total_requests", "total_cost_usd", "unique_users"))
+    )
+
+
+@query
+def staging_views(spark: SparkSession, path: str) -> DataFrame:
+    """All staging relations as views of the catalog, read by another session: rows and a total of each."""
+    store = warehouse(spark, "views")
+    other = Warehouse(spark.newSession(), store.root, store.prefix)
+    shown = {
+        "stg_meter_readings": "SUM(reading_hour)", "stg_orders": "SUM(CAST(rint(revenue_eur * 100) AS BIGINT))", "stg_customers": "COUNT(DISTINCT segment)",
+        "stg_products": "COUNT(DISTINCT brand)", "stg_weather": "SUM(reading_hour)", "stg_llm_logs": "SUM(CAST(rint(cost_usd * 1000000) AS BIGINT) + kafka_lag_ms)",
+    }
+    parts = []
+    for domain in adapters.BY_DOMAIN:
+        store.load(domain, adapters.raw_tables(spark, path, domain))
+        for name in views.create_staging(store, domain):
+            parts.append(other.read("staging", name).agg(
+                F.lit(name).alias("relation"), F.count("*").alias("staged_rows"), F.expr(shown[name]).cast("long").alias("total")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def unique_users_merged(spark: SparkSession, path: str) -> DataFrame:
+    """Exact distinct users per hour and per day (hour -1) from bitmaps that three batches appended."""
+    store = warehouse(spark, "bitmaps")
+    logs = relations(spark, path)("stg_llm_logs")
+    dictionary = distinct.new_users(logs.limit(0))
+    store.declare("partials", "users", dictionary.schema)
+    store.declare("partials", "hourly_users", distinct.hourly_bitmaps(logs, dictionary).schema)
+    for batch in range(3):
+        rows = logs.where(F.coalesce(F.pmod(F.hash("request_timestamp", "prompt_tokens"), F.lit(3)), F.lit(0)) == batch)
+        known = store.read("partials", "users")
+        fresh = scratch_dir(spark, "new_users")  # numbered before the table grows
+        distinct.new_users(rows, known).write.parquet(fresh)
+        store.append("partials", "users", spark.read.schema(dictionary.schema).parquet(fresh))
+        store.append("partials", "hourly_users", distinct.hourly_bitmaps(rows, store.read("partials", "users")))
+    bitmaps = store.read("partials", "hourly_users")
+    per_day = distinct.unique_users(bitmaps, "request_date").withColumn("request_hour", F.lit(-1))
+    return distinct.unique_users(bitmaps, "request_date", "request_hour").unionByName(per_day)
+
+
+@query
+def stream_hourly_activity(spark: SparkSession, path: str) -> DataFrame:
+    """Hourly activity counted by the stream, in complete mode over several batches; the approximate user count is left out."""
+    base = scratch_dir(spark, "hourly")
+    log = adapters.llm_logs_kafka(spark, path).select(*REQUEST_LOG.names)
+    events.write_events(events.encode_events(log).repartition(3), f"{base}/landing")
+    source = events.file_source(spark, f"{base}/landing", max_files=1)
+    hourly.write_all_hours(hourly.hourly_activity(source), f"{base}/hours", f"{base}/checkpoint").awaitTermination()
+    return hourly.read_all_hours(spark, f"{base}/hours").drop("approx_users")
+
+
 # --- data quality -----------------------------------------------------------------
 
 

@@ -447,6 +447,12 @@ SELECT request_date, request_hour, COUNT(*) AS total_requests, CAST(SUM(total_to
 FROM logs_s GROUP BY ALL""",
     "logs_s",
 )
+define(
+    "stream_log_table",
+    """SELECT latency_ms % 4 AS source_partition, COUNT(*) AS messages, COUNT(*) AS offsets, CAST(SUM(total_tokens) AS BIGINT) AS total_tokens
+FROM raw_logs GROUP BY 1""",
+    "raw_logs",
+)
 define(
     "staging_views",
     """

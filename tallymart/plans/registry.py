@@ -16,7 +16,7 @@ from ..session import scratch_dir, use_utc
 from ..sources import adapters, dimensions, events, payloads
 from ..sources.tables import Warehouse
 from ..streaming import hourly
-from ..streaming.ingest import ingest, read_log
+from ..streaming.ingest import declare_log, ingest, once_per_offset, read_log
 from . import refresh, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -366,6 +366,27 @@ def unique_users_merged(spark: SparkSession, path: str) -> DataFrame:
     return distinct.unique_users(bitmaps, "request_date", "request_hour").unionByName(per_day)
 
 
+@query
+def stream_log_table(spark: SparkSession, path: str) -> DataFrame:
+    """Messages with partitions and offsets, a third of them delivered twice, ingested in several batches and read by the log's name."""
+    store = warehouse(spark, "stream_log")
+    landing = f"{store.root}/landing"
+    log = adapters.llm_logs_kafka(spark, path).select(*REQUEST_LOG.names)
+    sent = events.encode_events(log).select(
+        "value", F.lit("requests").alias("source"), F.pmod(F.get_json_object("value", "$.latency_ms").cast("int"), F.lit(4)).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("appended_at"),
+    )
+    sent.repartition(2).write.parquet(landing)
+    again = spark.read.parquet(landing)
+    again.where(F.pmod(F.xxhash64("offset"), F.lit(3)) == 0).coalesce(1).write.mode("append").parquet(landing)
+    messages = spark.readStream.schema(again.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    log_folder = f"{store.root}/log"
+    ingest(once_per_offset(messages, "appended_at"), log_folder, f"{store.root}/checkpoint").awaitTermination()
+    return spark.table(declare_log(store, log_folder)).groupBy("source_partition").agg(
+        F.count("*").alias("messages"), F.count_distinct("source_offset").alias("offsets"), F.sum("total_tokens").alias("total_tokens")
+    )
+
+
 @query
 def stream_hourly_activity(spark: SparkSession, path: str) -> DataFrame:
     """Hourly activity counted by the stream, in complete mode over several batches; the approximate user count is left out."""

@@ -15,6 +15,7 @@ from pyspark.sql.types import DateType, IntegerType, LongType, StringType, Struc
 
 from ..schemas import CONSUMED_LOG, REQUEST_LOG
 from ..sources.events import decode_events
+from ..sources.tables import Warehouse
 
 OK, QUARANTINE = "ok", "quarantine"
 
@@ -66,6 +67,27 @@ def ingest(messages: DataFrame, log: str, checkpoint: str, interval: str | None
     )
 
 
+def once_per_offset(messages: DataFrame, moment: str, within: str = "1 day") -> DataFrame:
+    """The stream without messages that were delivered again: each (source, partition, offset) passes once.
+
+    Places are remembered in the state store until ``moment``, the time the broker appended a message, is ``within`` behind the
+    newest one, so state is bounded by the traffic of that time. The same place has the same ``moment`` in every delivery.
+    """
+    return messages.withWatermark(moment, within).dropDuplicatesWithinWatermark(["source", "partition", "offset"])
+
+
+def declare_log(warehouse: Warehouse, log: str, domain: str = "requests", table: str = "llm_logs_kafka") -> str:
+    """Give the log folder a name in the catalog: a view of its valid events, with their partition and offset.
+
+    A view over the folder sees the batches that the sink has committed and no files of a lost one, and new batches need no
+    registration. The folder must hold a batch.
+    """
+    name = warehouse.name(f"raw_{domain}", table)
+    columns = ", ".join(f"`{c}`" for c in [*CONSUMED_LOG.names, "source", "source_partition", "source_offset", "event_date"])
+    warehouse.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{log}` WHERE status = '{OK}'")
+    return name
+
+
 def messages_processed(spark: SparkSession, log: str) -> int:
     """Messages that a log holds, valid or in quarantine, over all runs and restarts."""
     return spark.read.schema(SINK).parquet(log).count()

@@ -12,7 +12,7 @@ from tallymart.operators import anomaly, distinct, marts, partials, staging
 from tallymart.plans import refresh, views
 from tallymart.sources import adapters, events
 from tallymart.sources.tables import Warehouse
-from tallymart.streaming import hourly
+from tallymart.streaming import hourly, ingest
 
 
 def rows(df, *columns):
@@ -206,6 +206,29 @@ def test_alert_from_partials_equals_the_scan(spark):
     assert rows(anomaly.alert_from_partials(days, staged, as_of)) == rows(anomaly.cost_anomaly(staged, as_of))
 
 
+# --- the log by name --------------------------------------------------------------
+
+
+def test_redelivered_messages_pass_once_and_the_log_has_a_name(store, spark, tmp_path):
+    schema = "value string, source string, partition int, offset long, appended_at timestamp"
+
+    def send(*places):
+        moment = datetime(2024, 1, 1)
+        sent = [(json.dumps(event(user_id=f"{p}-{o}")), "topic", p, o, moment) for p, o in places]
+        spark.createDataFrame(sent, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "landing"))
+        messages = spark.readStream.schema(schema).parquet(str(tmp_path / "landing"))
+        ingest.ingest(ingest.once_per_offset(messages, "appended_at"), str(tmp_path / "log"), str(tmp_path / "checkpoint")).awaitTermination()
+        return rows(spark.table(ingest.declare_log(store, str(tmp_path / "log"))), "source_partition", "source_offset", "user_id")
+
+    assert send((0, 1), (0, 2), (1, 1), (0, 1)) == [(0, 1, "0-1"), (0, 2, "0-2"), (1, 1, "1-1")]
+    assert len(send((0, 2), (0, 3), (1, 1))) == 4  # across batches and restarts
+    assert len(send((1, 2))) == 5
+    (tmp_path / "log" / "status=ok" / "event_date=2024-01-01" / "stray.parquet").write_bytes(b"a file of a lost batch")
+    assert store.read("raw_requests", "llm_logs_kafka").count() == 5
+    views.create_staging(store, "requests")
+    assert store.read("staging", "stg_llm_logs").count() == 5
+
+
 # --- stream windows ---------------------------------------------------------------
 
 

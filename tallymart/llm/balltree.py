@@ -141,7 +141,7 @@ def search(tree: tuple, q: np.ndarray, own: np.ndarray, least: np.ndarray, k: in
     return query, place, (found // n).astype(np.int64)
 
 
-_TREE = "shard long, ids binary, known binary, keys binary, vectors binary, centres binary, radii binary"
+_TREE = "shard long, ids array<long>, known array<long>, keys array<long>, vectors array<long>, centres array<long>, radii array<long>"
 
 
 def _plant(dimension: int) -> Callable:
@@ -153,8 +153,8 @@ def _plant(dimension: int) -> Callable:
             ids.fill_null(0).to_numpy()[order].astype(np.int64), ids.is_valid().to_numpy()[order], group.column("key").to_numpy()[order],
             v[order], centres, radii,
         ]
-        names = [part.split()[0] for part in _TREE.split(", ")]
-        return pa.table([pa.array([group.column("shard")[0].as_py()])] + [pa.array([c.tobytes()], pa.binary()) for c in cells], names)
+        lists = [pa.ListArray.from_arrays(pa.array([0, c.size], pa.int32()), pa.array(c.ravel().astype(np.int64))) for c in cells]
+        return pa.table([pa.array([group.column("shard")[0].as_py()]), *lists], [part.split()[0] for part in _TREE.split(", ")])
 
     return run
 
@@ -166,11 +166,9 @@ def _explore(dimension: int, k: int) -> Callable:
     def run(trees: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(trees) or not len(queries):
             return pa.table({c.split()[0]: pa.array([], pa.int64()) for c in _HIT.split(", ")})
-        tree = {c: trees.column(c)[0].as_py() for c in trees.column_names if c not in ("shard", "block")}
-        ids, keys, radii = (np.frombuffer(tree[c], np.int64) for c in ("ids", "keys", "radii"))
-        known = np.frombuffer(tree["known"], bool)
-        v, centres = (np.frombuffer(tree[c], np.int64).reshape(-1, dimension) if dimension else np.zeros((len(x), 0), np.int64)
-                      for c, x in (("vectors", ids), ("centres", radii)))
+        tree = {c: trees.column(c).combine_chunks().flatten().to_numpy() for c in trees.column_names if c not in ("shard", "block")}
+        ids, keys, radii, known = tree["ids"], tree["keys"], tree["radii"], tree["known"].astype(bool)
+        v, centres = tree["vectors"].reshape(len(ids), dimension), tree["centres"].reshape(len(radii), dimension)
         rank = np.empty(len(ids), np.int64)
         rank[np.lexsort((keys, ids, ~known))] = np.arange(len(ids))
         q, mine = matrix(queries.column("v").combine_chunks(), dimension), queries.column("key").to_numpy()

@@ -122,6 +122,16 @@ def test_search_matches_brute_force(spark, monkeypatch, seed):
     assert got(balltree.top_k(frame, every=7, k=3)) == brute_search(rows, 7, 3)
 
 
+def test_vectors_do_not_depend_on_the_arrow_layout(spark):
+    rows = vector_rows(6, 60, 8)
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        assert got(balltree.digest(vector_frame(spark, rows))) == brute_search(rows)
+        assert got(vectorcodes.digest(vector_frame(spark, rows))) == brute_codes(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "false")
+
+
 def test_search_of_few_uneven_and_large_vectors(spark):
     rows = [(0, [1.0], 1), (50, [], 1), (7, [2.0 ** 32, -1.0], 1), (100, [2.0 ** 32, 3.0], 1)]
     assert got(balltree.digest(vector_frame(spark, rows))) == brute_search(rows)

@@ -274,7 +274,8 @@ def _count_shared(buckets: int) -> Callable:
                 shared |= np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
             count = np.bincount(owner[np.repeat(shared, np.diff(np.append(starts, len(token))))], minlength=len(entity))
             group = pa.Table.from_batches([_by_bucket(entity[count > 0], count[count > 0], buckets)])
-        return group.select(["part", "entities", "counts"])
+        # the session may send wide offsets, but takes none back
+        return group.select(["part", "entities", "counts"]).cast(pa.schema([("part", pa.int64()), ("entities", pa.binary()), ("counts", pa.binary())]))
 
     return run
 

@@ -54,7 +54,7 @@ def plain(value):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     ours = QUERIES[name](spark, SMALL)
     theirs = con.execute(ORACLE[name])

@@ -20,9 +20,27 @@ def order_lines(lines: DataFrame, customers: DataFrame, products: DataFrame) ->
     ``lines`` has order_id, customer_id, product_id, order_date, status and quantity. The joins are
     left joins: a line whose customer or product is missing is kept with NULL attributes.
     """
-    who = customers.select("customer_id", "country", "segment")
-    what = products.select("product_id", "category", "brand", "price_eur", "cost_eur")
-    joined = lines.join(who, "customer_id", "left").join(what, "product_id", "left")
+    return _amounts(_with_product(_with_customer(lines, customers), products))
+
+
+def order_lines_of(heads: DataFrame, items: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """``order_lines`` where orders come as heads (order_key, customer_id, order_date) and items (order_key, order_id, product_id,
+    status, quantity): customers are looked up once per order and products per item, then both meet on the order.
+
+    The long side is shuffled by product and by order at most, never by customer. Items without a head are left out.
+    """
+    return _amounts(_with_product(items, products).join(_with_customer(heads, customers), "order_key"))
+
+
+def _with_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
+    return rows.join(customers.select("customer_id", "country", "segment"), "customer_id", "left")
+
+
+def _with_product(rows: DataFrame, products: DataFrame) -> DataFrame:
+    return rows.join(products.select("product_id", "category", "brand", "price_eur", "cost_eur"), "product_id", "left")
+
+
+def _amounts(joined: DataFrame) -> DataFrame:
     total = pricing.line_amount(F.col("price_eur"), F.col("quantity"))
     cost = pricing.line_amount(F.col("cost_eur"), F.col("quantity"))
     return joined.select(

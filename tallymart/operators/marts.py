@@ -157,16 +157,19 @@ def mart_weather_daily(weather: DataFrame) -> DataFrame:
     )
 
 
-def weather_city_7d(raw_weather: DataFrame, as_of: Column | None = None, days: int = 7) -> DataFrame:
+def weather_city_7d(raw_weather: DataFrame, as_of: Column | None = None, days: int = 7, since: Column | None = None) -> DataFrame:
     """Weather per city over the trailing days, counted back from ``as_of`` (today by default).
 
-    ``date`` is compared as it is stored, so a date-typed column reaches the scan as a pushed filter.
+    ``date`` is compared as it is stored, so a date-typed column reaches the scan as a pushed filter. Where it is computed from
+    ``timestamp``, give ``since``, the first moment that counts, in place of ``as_of``: it is compared with ``timestamp``.
     """
-    day = F.col("date")
-    if raw_weather.schema["date"].dataType.typeName() != "date":
-        day = day.cast("date")
-    start = F.date_sub(as_of if as_of is not None else F.current_date(), days)
-    return raw_weather.filter(day >= start).groupBy("city").agg(
+    recent = F.col("timestamp") >= since if since is not None else None
+    if recent is None:
+        day = F.col("date")
+        if raw_weather.schema["date"].dataType.typeName() != "date":
+            day = day.cast("date")
+        recent = day >= F.date_sub(as_of if as_of is not None else F.current_date(), days)
+    return raw_weather.filter(recent).groupBy("city").agg(
         exact_avg(F.col("temperature_c"), 1).alias("avg_temp_c"),
         sql_round(F.max("temperature_c"), 1).alias("max_temp_c"),
         sql_round(F.min("temperature_c"), 1).alias("min_temp_c"),
@@ -175,6 +178,15 @@ def weather_city_7d(raw_weather: DataFrame, as_of: Column | None = None, days: i
     )
 
 
+def trailing_start(rows: DataFrame, moment: str, days: int = 7) -> Column:
+    """Midnight ``days`` before the day of the latest ``moment``, as a scalar subquery.
+
+    It reads one column. The whole bound is computed inside the subquery, so a comparison of a stored column with it is
+    handed to the scan once it is known, and row groups of earlier times are skipped.
+    """
+    return rows.agg(F.date_sub(F.max(moment), days).cast("timestamp_ntz")).scalar()
+
+
 # --- request logs ---------------------------------------------------------------
 
 

@@ -453,6 +453,15 @@ define(
 FROM raw_logs GROUP BY 1""",
     "raw_logs",
 )
+define("stream_message_count", "SELECT COUNT(*) AS messages, COUNT(*) FILTER (model IS DISTINCT FROM 'error') AS valid_messages FROM raw_logs", "raw_logs")
+define(
+    "stream_compacted_log",
+    """
+SELECT 'ok' AS status, CAST(timestamp AS DATE) AS event_date, model, COUNT(*) AS messages, CAST(SUM(total_tokens) AS BIGINT) AS total_tokens
+FROM raw_logs WHERE model IS DISTINCT FROM 'error' GROUP BY ALL
+UNION ALL SELECT 'quarantine', NULL, NULL, COUNT(*), 0 FROM raw_logs WHERE model = 'error' HAVING COUNT(*) > 0""",
+    "raw_logs",
+)
 define(
     "staging_views",
     """

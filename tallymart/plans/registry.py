@@ -15,7 +15,7 @@ from ..schemas import REQUEST_LOG
 from ..session import scratch_dir, use_utc
 from ..sources import adapters, dimensions, events, payloads
 from ..sources.tables import Warehouse
-from ..streaming import hourly
+from ..streaming import hourly, segments
 from ..streaming.ingest import declare_log, ingest, once_per_offset, read_log
 from . import refresh, views
 
@@ -75,7 +75,7 @@ def revenue_by_category(spark: SparkSession, path: str) -> DataFrame:
 @query
 def weather_city_7d(spark: SparkSession, path: str) -> DataFrame:
     raw = adapters.hourly_weather(spark, path)
-    return marts.weather_city_7d(raw, as_of=raw.agg(F.max("date")).scalar())
+    return marts.weather_city_7d(raw, since=marts.trailing_start(raw, "timestamp"))
 
 
 @query
@@ -105,8 +105,8 @@ def load_counts(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def order_line_enrich(spark: SparkSession, path: str) -> DataFrame:
-    return enrich.order_lines(
-        adapters.order_lines(spark, path), adapters.customers(spark, path), adapters.products(spark, path)
+    return enrich.order_lines_of(
+        adapters.order_heads(spark, path), adapters.order_items(spark, path), adapters.customers(spark, path), adapters.products(spark, path)
     )
 
 
@@ -398,6 +398,38 @@ def stream_hourly_activity(spark: SparkSession, path: str) -> DataFrame:
     return hourly.read_all_hours(spark, f"{base}/hours").drop("approx_users")
 
 
+def _segment_log(spark: SparkSession, path: str) -> str:
+    """A log of segments after two runs of the stream, each in several batches and followed by a compaction.
+
+    The request log is sent in two parts; events of one type arrive damaged.
+    """
+    base = scratch_dir(spark, "segments")
+    log = adapters.llm_logs_kafka(spark, path).select(*REQUEST_LOG.names)
+    value, kind = F.col("value"), F.get_json_object("value", "$.model")
+    sent = events.encode_events(log).select(F.when(kind == "error", F.expr("left(value, length(value) - 1)")).otherwise(value).alias("value"))
+    even = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (even, ~even):
+        events.write_events(sent.where(part).repartition(3), f"{base}/landing")
+        source = events.file_source(spark, f"{base}/landing", max_files=1)
+        segments.ingest_segments(source, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+        segments.compact(spark, f"{base}/log", fan_in=2, largest=4)
+    return f"{base}/log"
+
+
+@query
+def stream_message_count(spark: SparkSession, path: str) -> DataFrame:
+    """Messages and valid ones over batches, a restart and compactions, from what the batches observed; no log file is opened."""
+    messages, valid = segments.message_counts(spark, _segment_log(spark, path))
+    return spark.range(1).select(F.lit(messages).cast("long").alias("messages"), F.lit(valid).cast("long").alias("valid_messages"))
+
+
+@query
+def stream_compacted_log(spark: SparkSession, path: str) -> DataFrame:
+    """Events per date and model in the compacted log, and the messages in quarantine."""
+    rows = segments.read_messages(spark, _segment_log(spark, path))
+    return rows.groupBy("status", "event_date", "model").agg(F.count("*").alias("messages"), F.sum(F.coalesce("total_tokens", F.lit(0))).cast("long").alias("total_tokens"))
+
+
 # --- data quality -----------------------------------------------------------------
 
 

@@ -83,15 +83,19 @@ def _order_id() -> Column:
     return F.concat_ws("_", F.lit("ORD"), "l_orderkey", "l_linenumber")
 
 
-def order_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Order lines with keys only, before customer and product attributes are copied onto them."""
-    heads = table(spark, path, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = table(spark, path, "lineitem")
-    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
+def order_heads(spark: SparkSession, path: str) -> DataFrame:
+    """Orders with keys only, before customer attributes are copied onto them."""
+    return table(spark, path, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").cast("string").alias("customer_id"), F.to_date("o_orderdate").alias("order_date")
+    )
+
+
+def order_items(spark: SparkSession, path: str) -> DataFrame:
+    """Order lines with keys only, before product attributes are copied onto them."""
+    return table(spark, path, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"),
         _order_id().alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        F.to_date("o_orderdate").alias("order_date"),
         _status().alias("status"),
         F.col("l_quantity").cast("int").alias("quantity"),
     )

@@ -93,15 +93,20 @@ def messages_processed(spark: SparkSession, log: str) -> int:
     return spark.read.schema(SINK).parquet(log).count()
 
 
+def valid_events(rows: DataFrame, since: date | None = None) -> DataFrame:
+    """The valid events among a log's rows, from ``since`` on if given, and those without a date."""
+    rows = rows.filter(F.col("status") == OK)
+    if since:
+        rows = rows.filter((F.col("event_date") >= F.lit(since)) | F.col("event_date").isNull())
+    return rows.select(*CONSUMED_LOG.names)
+
+
 def read_log(spark: SparkSession, log: str, since: date | None = None) -> DataFrame:
     """The valid events, from ``since`` on if given, and those without a date: the log that staging reads.
 
     Both conditions are on folder columns, so other folders are not opened.
     """
-    rows = spark.read.schema(SINK).parquet(log).filter(F.col("status") == OK)
-    if since:
-        rows = rows.filter((F.col("event_date") >= F.lit(since)) | F.col("event_date").isNull())
-    return rows.select(*CONSUMED_LOG.names)
+    return valid_events(spark.read.schema(SINK).parquet(log), since)
 
 
 def read_quarantine(spark: SparkSession, log: str) -> DataFrame:

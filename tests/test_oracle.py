@@ -11,7 +11,8 @@ from tallymart.plans.registry import QUERIES, relations
 
 # these queries write tables or run a stream when they are built
 EAGER = {"weather_flatten", "load_replace", "load_append", "mart_roundtrip", "stream_ingest", "refresh_report",
-         "refresh_incremental", "staging_views", "unique_users_merged", "stream_hourly_activity", "stream_log_table"}
+         "refresh_incremental", "staging_views", "unique_users_merged", "stream_hourly_activity", "stream_log_table",
+         "stream_message_count", "stream_compacted_log"}
 
 
 @pytest.fixture(scope="module")

@@ -5,10 +5,12 @@ the smallest id, and the other records of that digest become revisits that refer
 archives are written with new record headers and read back.
 
 A record is an HTTP response with its header block. A revisit keeps the header block, whose
-Content-Length states the full payload, and leaves the payload out. Archives are text files whose
-records end with the two line ends that the format asks for; ``gzip`` compresses whole files.
+Content-Length states the full payload, and leaves the payload out. It names its original by record id and by URL. Record ids are
+made of digest and page id, so an original's id is known wherever its digest is. Every header gets the time of writing, unless
+a date is given. Archives are text files whose records end with the two line ends that the format asks for; ``gzip`` compresses
+whole files, as a text sink cannot begin a new gzip member for each record.
 
-Edge cases: a null payload is empty. Payloads under ``least`` bytes are always responses. Repeated
+Edge cases: a page must stay under the 2 GB that one value can hold. A null payload is empty. Payloads under ``least`` bytes are always responses. Repeated
 rows of the smallest id are all responses. A null id counts as larger than any other; where all ids of
 a digest are null, all are responses. Line ends and blanks in a URL are percent-encoded, a null URL
 leaves the header out. An empty table writes no record. Extra columns are ignored.
@@ -29,15 +31,16 @@ from .common import stored
 
 #: Payload bytes that go to one archive file.
 FILE_BYTES = 16 << 20
-#: Originals of repeated digests that are broadcast, about 100 bytes each; more are shuffled.
+#: Originals of repeated digests that are broadcast, about 100 bytes each besides their URLs, and bytes of these; more are shuffled.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 #: Smaller payloads are not worth a revisit record.
 LEAST = 100
 #: Rows of one Arrow batch while reading.
 _ROWS = 5000
 _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-HEADERS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+HEADERS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, refers_to_url string"
 
 
 def headers(pages: DataFrame) -> DataFrame:
@@ -50,32 +53,42 @@ def headers(pages: DataFrame) -> DataFrame:
 
 
 def originals(records: DataFrame, least: int = LEAST) -> DataFrame:
-    """The record that each repeated digest refers to; digests seen once need none."""
+    """The record that each repeated digest refers to, and its URL; digests seen once need none."""
+    known = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
     return (
         records.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
-        .agg(F.min("page_id").alias("original"), F.count("*").alias("_n"))
-        .where("_n > 1").drop("_n")
+        .agg(F.min(known).alias("first"), F.count("*").alias("n")).where("n > 1")
+        .select("payload_digest", F.col("first.page_id").alias("original"), F.col("first.url").alias("original_url"))
     )
 
 
 def resolve(records: DataFrame, least: int = LEAST) -> DataFrame:
-    """Add record_type and refers_to.
+    """Add record_type, refers_to and refers_to_url.
 
     Few originals are broadcast, and payloads stay where they are. Else both sides are shuffled by digest;
     a hot digest is one row on the originals' side, so its partition can be split.
     """
     known = stored(originals(records, least), "originals")
-    if known.count() <= BROADCAST_ROWS:
+    n, url_bytes = known.agg(F.count("*"), F.sum(F.octet_length("original_url"))).first()
+    if n <= BROADCAST_ROWS and (url_bytes or 0) <= BROADCAST_BYTES:
         known = F.broadcast(known)
     repeats = (F.col("original").isNotNull()) & ~F.col("page_id").eqNullSafe(F.col("original"))
     return records.join(known, "payload_digest", "left").withColumns({
         "record_type": F.when(repeats, "revisit").otherwise("response"),
         "refers_to": F.when(repeats, F.col("original")),
-    }).drop("original")
+        "refers_to_url": F.when(repeats, F.col("original_url")),
+    }).drop("original", "original_url")
 
 
 def _record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("unknown")), F.lit(">"))
+    return F.concat(F.lit("<urn:page:"), F.left("payload_digest", F.lit(32)), F.lit(":"), F.coalesce(page_id.cast("string"), F.lit("unknown")), F.lit(">"))
+
+
+def _uri(url: Column) -> Column:
+    """A URL that fits a header line."""
+    for char, code in ((" ", "%20"), ("\t", "%09"), ("\r", "%0D"), ("\n", "%0A")):
+        url = F.replace(url, F.lit(char), F.lit(code))
+    return url
 
 
 def _line(name: str, value: Column) -> Column:
@@ -83,30 +96,29 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"\r\n{name}: "), value.cast("string")), F.lit(""))
 
 
-def record(date: str) -> Column:
-    """The whole record as text, without its closing line ends."""
+def record(date: str | None = None) -> Column:
+    """The whole record as text, without its closing line ends; ``date`` is the time of the query by default."""
+    now = F.date_format(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     revisit = F.col("record_type") == "revisit"
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"),
         _line("Content-Length", F.col("payload_bytes")), F.lit(_END),
     )
     length = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
-    url = F.col("url")
-    for char, code in ((" ", "%20"), ("\t", "%09"), ("\r", "%0D"), ("\n", "%0A")):
-        url = F.replace(url, F.lit(char), F.lit(code))
     return F.concat(
         F.lit("WARC/1.1"),
         _line("WARC-Type", F.col("record_type")), _line("WARC-Record-ID", _record_id(F.col("page_id"))),
-        _line("WARC-Date", F.lit(date)), _line("WARC-Target-URI", url),
+        _line("WARC-Date", F.lit(date) if date else now), _line("WARC-Target-URI", _uri(F.col("url"))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         _line("WARC-Profile", F.when(revisit, _PROFILE)),
         _line("WARC-Refers-To", F.when(revisit, _record_id(F.col("refers_to")))),
+        _line("WARC-Refers-To-Target-URI", _uri(F.col("refers_to_url"))),
         _line("Content-Type", F.lit("application/http; msgtype=response")), _line("Content-Length", length),
         F.lit(_END), http, F.when(revisit, "").otherwise(F.col("html")),
     )
 
 
-def write_archives(resolved: DataFrame, path: str, files: int, date: str = "2024-01-01T00:00:00Z") -> None:
+def write_archives(resolved: DataFrame, path: str, files: int, date: str | None = None) -> None:
     """Write records into about ``files`` archives of even size; records are dealt by a hash of their headers."""
     (
         resolved.repartition(files, F.xxhash64("page_id", "url", "payload_digest")).select(record(date).alias("value"))
@@ -132,7 +144,7 @@ def _page(record_id: str | None) -> int | None:
 
 
 def _records(content: bytes) -> Iterator[tuple]:
-    """Records of one archive; a response's payload is checked against its digest."""
+    """What ``HEADERS`` lists of each record of one archive; a response's payload is checked against its digest."""
     with gzip.open(io.BytesIO(content)) as stream:
         while (head := _head(stream)) is not None:
             block = stream.read(int(head["content-length"]))
@@ -143,7 +155,7 @@ def _records(content: bytes) -> Iterator[tuple]:
             if stream.read(4) != b"\r\n\r\n":
                 raise ValueError(f"record {head['warc-record-id']} is cut off")
             yield (_page(head["warc-record-id"]), head.get("warc-target-uri"), int(http["content-length"]), digest,
-                   head["warc-type"], _page(head.get("warc-refers-to")))
+                   head["warc-type"], _page(head.get("warc-refers-to")), head.get("warc-refers-to-target-uri"))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

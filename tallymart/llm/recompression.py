@@ -7,8 +7,9 @@ symbol in each round. A symbol remembers the stretch of words that decided it. T
 therefore hold the same symbols, apart from those that words outside had a say in, and of the
 longest symbols that a window decides alone the one with the smallest hash is its anchor for ``spans``. A window that decides none is its own anchor.
 
-Contexts of an anchor are compared window by window: two independent 64-bit hashes of a window's 35 words
-must agree.
+No repeat rests on a hash. Runs whose contexts hash alike are held against each other word for word
+(``spans.lied``); if any two differ, the rounds are run anew under another salt. Competing contexts of an anchor are
+compared window by window: windows are sorted by hash, and neighbours must agree in all 35 words.
 
 Edge cases: a null text has no words. A text that occurs in several rows, repeated ids included, is
 removed from all of them if it has 35 words or more. Extra columns are ignored. An empty table gives an
@@ -18,7 +19,9 @@ empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,16 @@ from pyspark.sql import functions as F
 
 from .common import count_words, stored, words
 from .flat import chunks, places, prefix_sums, scramble, span_hash, word_bounds, word_hashes
-from .spans import batch_of, by_text, classes, compared, consecutive, forget, mask, of_documents, runs, unique_texts
+from .spans import agreed, batch_of, by_text, compared, consecutive, forget, mask, of_documents, unique_texts
 
 WINDOW = 35
 ROUNDS = 3
 #: Words that a symbol may stand for.
 MOST = 8
+#: Salts to name under before giving up.
+SALTS = 8
+#: Pairs of windows that are compared word for word at once.
+SLICE = 8192
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -128,14 +135,15 @@ def smallest_inside(key: np.ndarray, low: np.ndarray, high: np.ndarray, windows:
     return lowest[0]
 
 
-def find_runs(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """Runs of windows with one anchor, chunk by chunk; places count words."""
+def find_runs(batch: pa.RecordBatch, salt: int = 0, bits_kept: int = 64) -> Iterator[tuple]:
+    """Runs of windows with one anchor, chunk by chunk; places count words. Hashes depend on ``salt``; only
+    ``bits_kept`` bits of a context's are used."""
     for row, data, offsets in chunks(batch, "text"):
         begins, ends, first_word = word_bounds(data, offsets)
         n = len(begins) - WINDOW + 1
         if n < 1:
             continue
-        hashes = word_hashes(data, begins, ends)
+        hashes = scramble(word_hashes(data, begins, ends) + np.uint64(salt))
         counts = np.diff(first_word)
         doc = np.repeat(np.arange(len(counts)), counts)
         names, start, size, low, high = recompress(hashes, doc)
@@ -157,41 +165,80 @@ def find_runs(batch: pa.RecordBatch) -> Iterator[tuple]:
         length = edges[np.searchsorted(edges, first, "right")] - first
         off = place[first] - first
         content = span_hash(sums, first, first + length + (WINDOW - 1))
-        context = scramble(content + scramble((length * 128 + off).astype(np.uint64)))
+        context = scramble(content + scramble((length * 128 + off).astype(np.uint64))) >> np.uint64(64 - bits_kept)
         anchor = np.where(alone[first], scramble(content + _SALT), named[symbol[first]])
         yield row, doc[first], anchor, context, first - first_word[doc[first]], length, off
 
 
-def fetch_windows(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
-    """Two hashes of every window of each run."""
-    parts = []
+def spaced(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words with one blank after each, start of each word and the total)."""
+    size = ends - begins + 1
+    at = np.concatenate([[0], np.cumsum(size)])
+    out = np.append(data, np.uint8(0))[np.arange(at[-1]) + np.repeat(begins - at[:-1], size)]
+    out[at[1:] - 1] = 0x20
+    return out, at
+
+
+def fetch_words(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The words that each run's windows cover, a blank after each; rows ascend."""
+    parts = [pa.array([], pa.binary())]
     for base, data, offsets in chunks(batch, "text"):
         of_chunk = slice(*np.searchsorted(row, [base, base + len(offsets) - 1]))
-        sizes = length[of_chunk].astype(np.int64)
+        if of_chunk.start == of_chunk.stop:
+            continue
         begins, ends, first_word = word_bounds(data, offsets)
-        hashes = word_hashes(data, begins, ends)
-        ends_at = np.concatenate([[0], np.cumsum(sizes)])
-        window = np.arange(ends_at[-1]) + np.repeat(first_word[row[of_chunk] - base] + start[of_chunk] - ends_at[:-1], sizes)
-        both = np.empty((len(window), 2), np.uint64)
-        for i, values in enumerate((hashes, scramble(hashes ^ _SALT))):
-            both[:, i] = scramble(span_hash(prefix_sums(values), window, window + WINDOW))
-        parts.append(pa.Array.from_buffers(
-            pa.binary(), len(sizes), [None, pa.py_buffer((ends_at * 16).astype(np.int32)), pa.py_buffer(both)]
-        ))
+        text, at = spaced(data, begins, ends)
+        first = first_word[row[of_chunk] - base] + start[of_chunk]
+        size = at[first + length[of_chunk] + (WINDOW - 1)] - at[first]
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        body = text[np.arange(cuts[-1]) + np.repeat(at[first] - cuts[:-1], size)]
+        parts.append(pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(body)]))
     return pa.concat_arrays(parts)
 
 
+def _equal(text: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the stretches of ``size`` bytes at x and y are equal, byte by byte."""
+    out = np.ones(len(x), bool)
+    for low in range(0, len(x), SLICE):
+        part = slice(low, low + SLICE)
+        n = size[part]
+        cuts = np.cumsum(n) - n
+        step = np.arange(n.sum()) - np.repeat(cuts, n)
+        agree = text[step + np.repeat(x[part], n)] == text[step + np.repeat(y[part], n)]
+        out[part] = np.logical_and.reduceat(agree, cuts)
+    return out
+
+
+def repeated(text: np.ndarray, at: np.ndarray, first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the windows that begin at the words ``first`` occur more than once. ``hashes`` are theirs."""
+    order = np.argsort(hashes, kind="stable")
+    low, size = at[first], at[first + WINDOW] - at[first]
+    x, y = order[:-1], order[1:]
+    alike = hashes[x] == hashes[y]
+    equal = alike & (size[x] == size[y])
+    pairs = np.flatnonzero(equal)
+    equal[pairs] = _equal(text, low[x[pairs]], low[y[pairs]], size[x[pairs]])
+    hit = np.zeros(len(first), bool)
+    hit[x[equal]] = True
+    hit[y[equal]] = True
+    # Where a hash lied, equal windows need not be neighbours: those hashes are settled by the words themselves.
+    unsure = np.flatnonzero(np.isin(hashes, hashes[y[alike & ~equal]]))
+    words_of = [text[low[i]:low[i] + size[i]].tobytes() for i in unsure]
+    counts = Counter(words_of)
+    hit[unsure] = [counts[words] > 1 for words in words_of]
+    return hit
+
+
 def match_windows(batch: pa.RecordBatch, length: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows that another context has too, as (row, first window, number)."""
-    at, data = places(batch.column("context"))
-    hashes = data[at[0]:at[-1]].view(np.uint64).reshape(-1, 2)
+    cuts, data = places(batch.column("content"))
+    text = data[cuts[0]:cuts[-1]]
+    at = np.concatenate([[0], np.flatnonzero(text == 0x20) + 1])
+    hashes = word_hashes(text, at[:-1], at[1:] - 1)
     row = np.repeat(np.arange(len(length)), length)
     window = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
-    equal = np.all(hashes[order][1:] == hashes[order][:-1], axis=1)
-    hit = np.zeros(len(order), bool)
-    hit[order[1:][equal]] = True
-    hit[order[:-1][equal]] = True
+    first = np.searchsorted(at, cuts[:-1] - cuts[0])[row] + window
+    hit = repeated(text, at, first, scramble(span_hash(prefix_sums(hashes), first, first + WINDOW)))
     return consecutive(row[hit], window[hit])
 
 
@@ -214,16 +261,19 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ])
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, str]:
-    """(doc_id, text_hash, copies, text, spans): the (start, end) word spans to remove of each different text."""
+def repeated_spans(docs: DataFrame, finders: Iterable[Callable] | None = None) -> tuple[DataFrame, str]:
+    """(doc_id, text_hash, copies, text, spans): the (start, end) word spans to remove of each different text.
+
+    ``finders`` are versions of ``find_runs``, tried in turn until one's hashes tell all contexts apart.
+    """
     texts, name = unique_texts(docs)
-    marks = stored(classes(runs(texts, find_runs, everywhere=True), everywhere=True), "marks")
-    return by_text(texts, marks, compared(texts, marks, fetch_windows, match_windows), WINDOW), name
+    marks = agreed(texts, finders or [partial(find_runs, salt=salt) for salt in range(SALTS)], fetch_words, everywhere=True)
+    return by_text(texts, marks, compared(texts, marks, fetch_words, match_windows), WINDOW), name
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, finders: Iterable[Callable] | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the hash of the words that stay."""
-    found, name = repeated_spans(docs)
+    found, name = repeated_spans(docs, finders)
     results = stored(found.mapInArrow(_kept, _RESULT), "kept")
     forget(docs.sparkSession, name)
     rows = docs.select(

@@ -3,14 +3,16 @@
 Every window of a fixed length has an anchor, which its own content determines, so equal windows have
 equal anchors at equal places. Windows of a text that follow each other and share an anchor form a run;
 the stretch that a run covers is its context. Runs of an anchor with equal contexts repeat each other
-whole and need nothing more. Only where an anchor has several contexts are these fetched and their
-windows compared.
+whole. Where an anchor has several contexts, these are fetched and their windows compared.
+
+Contexts are told apart by 64-bit hashes. With ``fetch`` given, runs that claim equal contexts are held against each
+other by content, inside a batch at once and across batches by ``lied``; see ``agreed``.
 
 1. ``unique_texts``: equal texts become one row, counted, in a table bucketed by text key.
 2. ``runs``: per text, runs as (anchor, context hash, place). Equal runs of a batch are combined before
    the shuffle, so the interior of a hot passage is one row per batch.
 3. ``classes``: per anchor, sorted runs stream by; whole repeats become hits, contexts that compete become
-   requests.
+   requests, and runs whose class holds others become claims.
 4. ``compared``: requests fetch their contexts from the bucketed texts and are compared by anchor. Many
    anchors share a group; an anchor with many contexts is dealt into blocks that meet pair by pair.
 5. ``by_text``: hits of each text are joined to it, again without moving the texts.
@@ -19,23 +21,28 @@ windows compared.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from .common import stored
 
+#: Bytes of text in a bucket of the table of texts, beyond which it gets more buckets than shuffles have partitions.
+BUCKET_BYTES = 256 << 20
 #: Contexts that one group compares at once.
 GROUP = 30_000
 #: Bits of a packed run: its length and the anchor's place in it, both under 128.
 _OFF = 128
 RUN = "route long, anchor long, context long, no_id boolean, doc_id long, text_hash long, start int, packed int, flag int"
 _RUN_NAMES = [part.split()[0] for part in RUN.split(", ")]
-#: Flags of a run: still open; open, and known to occur elsewhere; settled as a hit.
-OPEN, KNOWN, HIT = 0, 1, 2
+#: Flags of a run: still open; open, and known to occur elsewhere; settled as a hit; of equal hash but other content.
+OPEN, KNOWN, HIT, LIED = 0, 1, 2, 3
 
 
 def _combine_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +66,8 @@ def unique_texts(docs: DataFrame) -> tuple[DataFrame, str]:
     combined = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
         _combine_texts, "doc_id long, text_hash long, copies long, text string"
     )
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     texts = combined.repartition(buckets, "text_hash").groupBy("text_hash", "text").agg(
         F.min("doc_id").alias("doc_id"), F.sum("copies").alias("copies")
     )
@@ -87,10 +95,11 @@ def batch_of(names: list[str], columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
 
-def _combine(run: dict[str, np.ndarray], everywhere: bool) -> dict[str, np.ndarray]:
+def _combine(run: dict[str, np.ndarray], everywhere: bool, contents: Callable | None = None) -> dict[str, np.ndarray]:
     """Keep one open run of each class of the batch and settle the others.
 
     ``everywhere``: a run counts as repeated wherever the other one lies; else only if that is earlier.
+    ``contents`` gives the contexts of (rows, starts, lengths), rows ascending.
     """
     order = np.lexsort((run["start"], run["text_hash"], run["doc_id"], run["no_id"], run["context"], run["anchor"]))
     run = {name: values[order] for name, values in run.items()}
@@ -104,14 +113,26 @@ def _combine(run: dict[str, np.ndarray], everywhere: bool) -> dict[str, np.ndarr
         flag[firsts[count > 1]] = KNOWN
         known = np.maximum.reduceat(run["flag"], firsts) == KNOWN if len(firsts) else np.zeros(0, bool)
         flag[firsts[known]] = KNOWN
+    if contents is not None:
+        held = same.copy()
+        held[:-1] |= same[1:]
+        held = np.flatnonzero(held)
+        by_row = np.argsort(run["row"][held], kind="stable")
+        back = np.empty(len(held), np.int64)
+        back[by_row] = np.arange(len(held))
+        asked = held[by_row]
+        content = contents(run["row"][asked], run["start"][asked], run["packed"][asked] // _OFF).take(pa.array(back))
+        differs = ~np.asarray(pc.equal(content[1:], content[:-1])) if len(held) else np.zeros(0, bool)
+        flag[held[1:][differs & same[held[1:]]]] = LIED
     run["flag"] = flag
-    run["route"] = np.where(flag == HIT, run["text_hash"], run["anchor"])
+    run["route"] = np.where(flag >= HIT, run["text_hash"], run["anchor"])
     return run
 
 
-def runs(texts: DataFrame, find: Callable, everywhere: bool) -> DataFrame:
+def runs(texts: DataFrame, find: Callable, everywhere: bool, fetch: Callable | None = None) -> DataFrame:
     """Open and settled runs of all texts. ``find`` gets a batch's column of texts and yields, per chunk,
-    (first row, row in the chunk, anchor, context, start, length, anchor's place in the run)."""
+    (first row, row in the chunk, anchor, context, start, length, anchor's place in the run). ``fetch`` is as in
+    ``compared``; with it, runs of a batch are combined only if their contexts are equal."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,29 +149,32 @@ def runs(texts: DataFrame, find: Callable, everywhere: bool) -> DataFrame:
             run = _combine({
                 "anchor": anchor.view(np.int64), "context": context.view(np.int64), "no_id": no_id[row], "doc_id": doc_id[row],
                 "text_hash": text_hash[row], "start": start.astype(np.int32), "packed": (length * _OFF + off).astype(np.int32),
-                "flag": np.where(everywhere & (copies[row] > 1), KNOWN, OPEN).astype(np.int32),
-            }, everywhere)
+                "flag": np.where(everywhere & (copies[row] > 1), KNOWN, OPEN).astype(np.int32), "row": row,
+            }, everywhere, None if fetch is None else partial(fetch, batch))
             yield batch_of(_RUN_NAMES, [run[name] for name in _RUN_NAMES])
 
     return texts.mapInArrow(of_batches, RUN)
 
 
-_MARK = "request boolean, anchor long, no_id boolean, doc_id long, text_hash long, start int, packed int"
+#: Kinds of marks: a hit; a request; a hit that rests on a hash; the run it was held against; a hash that lied.
+SETTLED, REQUEST, CLAIM, FIRST, FALSE = range(5)
+_MARK = "kind int, anchor long, context long, no_id boolean, doc_id long, text_hash long, start int, packed int"
 _MARK_NAMES = [part.split()[0] for part in _MARK.split(", ")]
 
 
-def classes(found: DataFrame, everywhere: bool) -> DataFrame:
-    """Hits and requests from sorted runs, as a stream: of each anchor only its last run is held."""
+def classes(found: DataFrame, everywhere: bool, claims: bool = False) -> DataFrame:
+    """Marks from sorted runs, as a stream: of each anchor only its last run is held. With ``claims``, hits that rest
+    on a hash are told from others."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
         for batch in batches:
             if held is not None:
                 batch = pa.concat_batches([held, batch])
-            done, held = _classify(batch, everywhere, last=False)
+            done, held = _classify(batch, everywhere, claims, last=False)
             yield done
         if held is not None:
-            yield _classify(held, everywhere, last=True)[0]
+            yield _classify(held, everywhere, claims, last=True)[0]
 
     ordered = found.repartition("route").sortWithinPartitions(
         "route", "anchor", "context", "no_id", "doc_id", "text_hash", "start"
@@ -158,7 +182,7 @@ def classes(found: DataFrame, everywhere: bool) -> DataFrame:
     return ordered.mapInArrow(stream, _MARK)
 
 
-def _classify(batch: pa.RecordBatch, everywhere: bool, last: bool) -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
+def _classify(batch: pa.RecordBatch, everywhere: bool, claims: bool, last: bool) -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
     """Marks of the rows that are decided, and what must wait for the next batch.
 
     ``flag`` of a held row carries what is known so far: its class is repeated (KNOWN), and, by 4 added,
@@ -167,10 +191,11 @@ def _classify(batch: pa.RecordBatch, everywhere: bool, last: bool) -> tuple[pa.R
     n = batch.num_rows
     col = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in _RUN_NAMES}
     anchor, context, flag = col["anchor"], col["context"], col["flag"]
-    open_ = (flag & 3) != HIT
+    open_ = (flag & 3) < HIT
     rows = np.flatnonzero(open_)
+    done = {SETTLED: np.flatnonzero(flag & 3 == HIT), FALSE: np.flatnonzero(flag & 3 == LIED)}
     if not len(rows):
-        return _marks(col, np.flatnonzero(~open_), np.zeros(0, int)), None
+        return _marks(col, done, claims), None
     a, c, f = anchor[rows], context[rows], flag[rows]
     new_anchor = np.ones(len(rows), bool)
     new_anchor[1:] = a[1:] != a[:-1]
@@ -188,7 +213,13 @@ def _classify(batch: pa.RecordBatch, everywhere: bool, last: bool) -> tuple[pa.R
     ask = firsts[several[anchor_no] & ~wait]
     waiting = firsts[wait]
     hit[waiting] = False
-    marks = _marks(col, np.concatenate([np.flatnonzero(~open_), rows[hit]]), rows[ask])
+    claim = claims & (size > 1)[of_class]
+    first = np.zeros(len(rows), bool)
+    first[firsts] = True
+    marks = _marks(col, {
+        **done, SETTLED: np.concatenate([done[SETTLED], rows[hit & ~claim]]), REQUEST: rows[ask],
+        CLAIM: rows[hit & claim], FIRST: rows[first & claim & ~hit],
+    }, claims)
     if last:
         return marks, None
     held = batch.slice(rows[waiting[0]], 1)
@@ -197,13 +228,55 @@ def _classify(batch: pa.RecordBatch, everywhere: bool, last: bool) -> tuple[pa.R
     return marks, held
 
 
-def _marks(col: dict[str, np.ndarray], hits: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
-    rows = np.concatenate([hits, asks]).astype(int)
-    request = np.arange(len(rows)) >= len(hits)
-    return batch_of(_MARK_NAMES, [request, *[col[name][rows] for name in _MARK_NAMES[1:]]])
+def _marks(col: dict[str, np.ndarray], of_kind: dict[int, np.ndarray], claims: bool) -> pa.RecordBatch:
+    rows = np.concatenate(list(of_kind.values())).astype(int)
+    kind = np.repeat(list(of_kind), [len(found) for found in of_kind.values()]).astype(np.int32)
+    context = col["context"][rows] if claims else np.zeros(len(rows), np.int64)
+    return batch_of(_MARK_NAMES, [kind, col["anchor"][rows], context, *[col[name][rows] for name in _MARK_NAMES[3:]]])
+
+
+def _cut(texts: DataFrame, asked: DataFrame, fields: list[str], fetch: Callable, schema: str) -> DataFrame:
+    """The context of each row of ``asked``, beside its ``fields`` and, where the schema has it, its text's key."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    listed = asked.groupBy("text_hash", "no_id", F.col("doc_id").alias("key")).agg(F.collect_list(F.struct(*fields)).alias("asked"))
+    joined = _of_text(texts, listed, "inner").select("s.no_id", F.col("s.key").alias("doc_id"), "s.text_hash", "asked", "text")
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("asked")
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            col = {name: flat.field(i) for i, name in enumerate(fields)}
+            col["content"] = fetch(batch, row, col["start"].to_numpy(), col["packed"].to_numpy() // _OFF)
+            yield batch_of(names, [col[n] if n in col else batch.column(n).take(pa.array(row)) for n in names])
+
+    return joined.mapInArrow(of_batches, schema)
+
 
+def lied(texts: DataFrame, marks: DataFrame, fetch: Callable) -> bool:
+    """Whether runs of equal anchor and context hash differ in content anywhere.
 
-_CONTEXT = "g long, block int, blocks int, anchor long, no_id boolean, doc_id long, text_hash long, start int, packed int, context binary"
+    A class's smallest and largest content are found with a map-side combine, so a hot class is a row per task.
+    """
+    if not marks.where(F.col("kind") == FALSE).isEmpty():
+        return True
+    fields = ["anchor", "context", "start", "packed"]
+    claims = marks.where(F.col("kind").isin(CLAIM, FIRST))
+    contents = _cut(texts, claims, fields, fetch, "anchor long, context long, content binary")
+    ends = contents.groupBy("anchor", "context").agg(F.min("content").alias("low"), F.max("content").alias("high"))
+    return not ends.where(F.col("low") != F.col("high")).isEmpty()
+
+
+def agreed(texts: DataFrame, finders: Iterable[Callable], fetch: Callable, everywhere: bool) -> DataFrame:
+    """Marks by the first of ``finders`` whose hashes tell all contexts apart. They differ in their hash only."""
+    for find in finders:
+        marks = stored(classes(runs(texts, find, everywhere, fetch), everywhere, claims=True), "marks")
+        if not lied(texts, marks, fetch):
+            return marks
+    raise RuntimeError("no hash told all contexts apart")
+
+
+_CONTEXT = "g long, block int, blocks int, anchor long, no_id boolean, doc_id long, text_hash long, start int, packed int, content binary"
 _CONTEXT_NAMES = [part.split()[0] for part in _CONTEXT.split(", ")]
 _HITS = "text_hash long, no_id boolean, doc_id long, start int, length int"
 _HIT_NAMES = [part.split()[0] for part in _HITS.split(", ")]
@@ -215,33 +288,21 @@ def compared(texts: DataFrame, marks: DataFrame, fetch: Callable, match: Callabl
     ``fetch`` cuts contexts out of a batch of texts: for (rows, starts, lengths), rows ascending, one binary
     each. ``match`` gets a group's contexts and tells which windows are hits.
     """
-    wanted = marks.where("request").drop("request")
+    wanted = marks.where(F.col("kind") == REQUEST)
     half = GROUP // 2
-    sizes = wanted.groupBy("anchor").agg(F.count("*").alias("_n")).select(
-        "anchor", F.when(F.col("_n") <= half, 1).otherwise(F.ceil(F.col("_n") / half)).cast("int").alias("blocks")
-    )
+    # Anchors of more than one block are few, one in half a group's contexts at most; the others need no look-up, and
+    # a hot one is not shuffled by its anchor while the table is small.
+    large = stored(wanted.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > half).select(
+        "anchor", F.ceil(F.col("n") / half).cast("int").alias("found")
+    ), "large")
     bins = wanted.count() // GROUP + 1
     single = F.col("blocks") == 1
-    dealt = wanted.join(sizes, "anchor").select(
+    dealt = wanted.join(large, "anchor", "left").withColumn("blocks", F.coalesce("found", F.lit(1))).select(
         F.when(single, F.pmod(F.xxhash64("anchor"), F.lit(bins))).otherwise(F.col("anchor")).alias("g"),
         F.pmod(F.xxhash64("text_hash", "start"), F.col("blocks")).cast("int").alias("block"), "blocks",
-        "anchor", "no_id", F.col("doc_id").alias("key"), "text_hash", "start", "packed",
+        "anchor", "no_id", "doc_id", "text_hash", "start", "packed",
     )
-    fields = ["g", "block", "blocks", "anchor", "start", "packed"]
-    listed = dealt.groupBy("text_hash", "no_id", "key").agg(F.collect_list(F.struct(*fields)).alias("asked"))
-    asked = _of_text(texts, listed, "inner").select("s.no_id", F.col("s.key").alias("doc_id"), "s.text_hash", "asked", "text")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("asked")
-            flat = lists.flatten()
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            g, block, blocks, anchor, start, packed = (flat.field(i) for i in range(len(fields)))
-            context = fetch(batch, row, start.to_numpy(), packed.to_numpy() // _OFF)
-            own = [batch.column(n).take(pa.array(row)) for n in ("no_id", "doc_id", "text_hash")]
-            yield batch_of(_CONTEXT_NAMES, [g, block, blocks, anchor, *own, start, packed, context])
-
-    contexts = asked.mapInArrow(cut, _CONTEXT)
+    contexts = _cut(texts, dealt, ["g", "block", "blocks", "anchor", "start", "packed"], fetch, _CONTEXT)
     grouped = contexts.select(
         "*", F.explode(F.when(single, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("other")
     ).select(
@@ -272,7 +333,7 @@ def consecutive(row: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def by_text(texts: DataFrame, marks: DataFrame, more: DataFrame, window: int) -> DataFrame:
     """``texts`` with ``spans``, its hits as an array of (start, end); null where it has none."""
-    settled = marks.where(~F.col("request")).select(
+    settled = marks.where(F.col("kind").isin(SETTLED, CLAIM)).select(
         "text_hash", "no_id", "doc_id", "start", F.floor(F.col("packed") / _OFF).cast("int").alias("length")
     )
     hits = settled.unionByName(more).groupBy("text_hash", "no_id", F.col("doc_id").alias("key")).agg(

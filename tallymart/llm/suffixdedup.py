@@ -163,7 +163,7 @@ def _common(a: bytes, b: bytes) -> int:
 
 def match_windows(batch: pa.RecordBatch, length: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of the contexts that an earlier context has too, as (row, first window, number)."""
-    at, data = places(batch.column("context"))
+    at, data = places(batch.column("content"))
     data = data[at[0]:at[-1]]
     at = at - at[0]
     group = np.unique(batch.column("anchor").to_numpy(), return_inverse=True)[1]

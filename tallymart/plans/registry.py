@@ -21,6 +21,9 @@ from . import refresh, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Messages in a landing file, about, and landing files in a batch, at most: what a task or a batch takes in is bounded.
+FILE_MESSAGES = 100_000
+BATCH_FILES = 64
 
 
 def query(build: Query) -> Query:
@@ -56,6 +59,12 @@ def warehouse(spark: SparkSession, label: str) -> Warehouse:
     return Warehouse(spark, scratch_dir(spark, label), f"{label}_{uuid.uuid4().hex[:8]}_")
 
 
+def landing_files(messages: int, batches: int) -> tuple[int, int]:
+    """(files, files a batch) that ``messages`` land in: as many files as the messages fill, taken in ``batches`` or more."""
+    files = max(batches, -(-messages // FILE_MESSAGES))
+    return files, min(BATCH_FILES, files // batches)
+
+
 _register_models()
 
 
@@ -376,10 +385,11 @@ def stream_log_table(spark: SparkSession, path: str) -> DataFrame:
         "value", F.lit("requests").alias("source"), F.pmod(F.get_json_object("value", "$.latency_ms").cast("int"), F.lit(4)).alias("partition"),
         F.monotonically_increasing_id().alias("offset"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("appended_at"),
     )
-    sent.repartition(2).write.parquet(landing)
+    files, a_batch = landing_files(log.count(), 2)
+    sent.repartition(files).write.parquet(landing)
     again = spark.read.parquet(landing)
-    again.where(F.pmod(F.xxhash64("offset"), F.lit(3)) == 0).coalesce(1).write.mode("append").parquet(landing)
-    messages = spark.readStream.schema(again.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    again.where(F.pmod(F.xxhash64("offset"), F.lit(3)) == 0).write.mode("append").parquet(landing)
+    messages = spark.readStream.schema(again.schema).option("maxFilesPerTrigger", a_batch).parquet(landing)
     log_folder = f"{store.root}/log"
     ingest(once_per_offset(messages, "appended_at"), log_folder, f"{store.root}/checkpoint").awaitTermination()
     return spark.table(declare_log(store, log_folder)).groupBy("source_partition").agg(

@@ -1,5 +1,6 @@
 """The request log as segments: commits, replays, compaction, counts."""
 
+import glob
 import json
 import shutil
 from datetime import date
@@ -8,8 +9,10 @@ import pytest
 from conftest import SMALL
 from test_sources import event
 
+from tallymart.plans import registry
 from tallymart.plans.registry import QUERIES
-from tallymart.sources import events
+from tallymart.session import scratch_dir
+from tallymart.sources import adapters, events
 from tallymart.streaming import segments
 
 BATCHES = 14
@@ -123,6 +126,36 @@ def test_an_empty_log(spark, tmp_path):
     assert segments.message_counts(spark, log) == (0, 0) and segments.read_segments(spark, log).count() == 0
 
 
+@pytest.mark.parametrize("name", ["stream_log_table"])
+def test_landing_files_grow_with_the_log(spark, monkeypatch, name):
+    """No file holds a fixed share of the log, and the stream still takes them in several batches."""
+    log = adapters.llm_logs_kafka(spark, SMALL).count()
+    monkeypatch.setattr(registry, "FILE_MESSAGES", 50)
+    folder, seen = [], []
+
+    def kept(session, label):
+        folder.append(scratch_dir(session, label))
+        return folder[-1]
+
+    monkeypatch.setattr(registry, "scratch_dir", kept)
+    query = QUERIES[name](spark, SMALL)
+    rows = query.collect()
+    landed = glob.glob(f"{folder[0]}/landing/part-*")
+    for place in landed:
+        read = spark.read.parquet if place.endswith(".parquet") else spark.read.text
+        seen.append(read(place).count())
+    assert max(seen) < log / 4 and len(landed) >= log // 50
+    assert 3 <= len(glob.glob(f"{folder[0]}/checkpoint/commits/[0-9]*")) <= 12
+    monkeypatch.undo()
+    assert sorted(map(str, rows)) == sorted(map(str, QUERIES[name](spark, SMALL).collect()))
+
+
+def test_files_and_batches_are_bounded():
+    assert registry.landing_files(0, 3) == (3, 1) and registry.landing_files(100_000, 2) == (2, 1)
+    assert registry.landing_files(6_000_000, 2) == (60, 30)
+    assert registry.landing_files(36_000_000, 3) == (360, registry.BATCH_FILES)
+
+
 def test_trailing_days_reach_the_scan(spark):
     found = QUERIES["weather_city_7d"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in found.split("\n") if "FileScan parquet" in line]

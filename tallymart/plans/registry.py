@@ -402,8 +402,9 @@ def stream_hourly_activity(spark: SparkSession, path: str) -> DataFrame:
     """Hourly activity counted by the stream, in complete mode over several batches; the approximate user count is left out."""
     base = scratch_dir(spark, "hourly")
     log = adapters.llm_logs_kafka(spark, path).select(*REQUEST_LOG.names)
-    events.write_events(events.encode_events(log).repartition(3), f"{base}/landing")
-    source = events.file_source(spark, f"{base}/landing", max_files=1)
+    files, a_batch = landing_files(log.count(), 3)
+    events.write_events(events.encode_events(log).repartition(files), f"{base}/landing")
+    source = events.file_source(spark, f"{base}/landing", max_files=a_batch)
     hourly.write_all_hours(hourly.hourly_activity(source), f"{base}/hours", f"{base}/checkpoint").awaitTermination()
     return hourly.read_all_hours(spark, f"{base}/hours").drop("approx_users")
 
@@ -418,9 +419,10 @@ def _segment_log(spark: SparkSession, path: str) -> str:
     value, kind = F.col("value"), F.get_json_object("value", "$.model")
     sent = events.encode_events(log).select(F.when(kind == "error", F.expr("left(value, length(value) - 1)")).otherwise(value).alias("value"))
     even = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    files, a_batch = landing_files(log.count() // 2, 3)
     for part in (even, ~even):
-        events.write_events(sent.where(part).repartition(3), f"{base}/landing")
-        source = events.file_source(spark, f"{base}/landing", max_files=1)
+        events.write_events(sent.where(part).repartition(files), f"{base}/landing")
+        source = events.file_source(spark, f"{base}/landing", max_files=a_batch)
         segments.ingest_segments(source, f"{base}/log", f"{base}/checkpoint").awaitTermination()
         segments.compact(spark, f"{base}/log", fan_in=2, largest=4)
     return f"{base}/log"

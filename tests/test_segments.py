@@ -126,7 +126,7 @@ def test_an_empty_log(spark, tmp_path):
     assert segments.message_counts(spark, log) == (0, 0) and segments.read_segments(spark, log).count() == 0
 
 
-@pytest.mark.parametrize("name", ["stream_log_table"])
+@pytest.mark.parametrize("name", ["stream_log_table", "stream_hourly_activity", "stream_message_count"])
 def test_landing_files_grow_with_the_log(spark, monkeypatch, name):
     """No file holds a fixed share of the log, and the stream still takes them in several batches."""
     log = adapters.llm_logs_kafka(spark, SMALL).count()

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, marts, partials, quality, staging
+from ..session import side_by_side
 from ..sources.tables import Warehouse
 from . import views
 
@@ -167,7 +168,7 @@ def refresh(
     hour before it to the report of the request domain, as its last step.
 
     Loaded domains get their staging relations as views of the ``staging`` database as well. What the refresh before this one
-    superseded is deleted at the start, so readers of a table have until the next refresh to finish.
+    superseded is deleted at the start, so readers of a table have until the next refresh to finish. Marts are written side by side.
     """
     for name in MARTS[domain]:
         for layer in ("marts", "partials"):
@@ -183,15 +184,16 @@ def refresh(
     relations = dict(raw)
     for name in STAGING[domain]:
         relation(name, raw.__getitem__, relations).createOrReplaceTempView(name)
-    for name in MARTS[domain]:
+
+    def rebuild(name: str) -> DataFrame:
         if incremental and name in partials.KEYS:
             days = update_partials(warehouse, name, raw, since)
-            relations[name] = write_mart(warehouse, name, partials.merged(days, name))
-            continue
+            return write_mart(warehouse, name, partials.merged(days, name))
         if since and name in PARTITIONED_BY and warehouse.exists("marts", name):
-            relations[name] = update_mart(warehouse, name, raw, since)
-            continue
-        relations[name] = write_mart(warehouse, name, relation(name, raw.__getitem__, relations))
+            return update_mart(warehouse, name, raw, since)
+        return write_mart(warehouse, name, relation(name, raw.__getitem__, dict(relations)))
+
+    relations.update(zip(MARTS[domain], side_by_side([partial(rebuild, name) for name in MARTS[domain]])))
 
     row = ["relation", "column_name", "measure", "value"]
     no_column = F.lit(None).cast("string")

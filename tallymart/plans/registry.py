@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, pricing, prompts
 from ..operators import anomaly, distinct, enrich, marts, quality
 from ..schemas import REQUEST_LOG
-from ..session import scratch_dir, use_utc
+from ..session import scratch_dir, side_by_side, use_utc
 from ..sources import adapters, dimensions, events, payloads
 from ..sources.tables import Warehouse
 from ..streaming import hourly, segments
@@ -294,13 +294,10 @@ def stream_ingest(spark: SparkSession, path: str) -> DataFrame:
 def refresh_report(spark: SparkSession, path: str) -> DataFrame:
     """Every domain refreshed end to end: row counts of raw tables and marts, and all checks."""
     store = warehouse(spark, "refresh")
-    reports = [
-        refresh.refresh(store, domain, adapters.raw_tables(spark, path, domain)) for domain in adapters.BY_DOMAIN
-    ]
-    result = reports[0]
-    for other in reports[1:]:
-        result = result.unionByName(other)
-    return result
+    reports = side_by_side([
+        partial(refresh.refresh, store, domain, adapters.raw_tables(spark, path, domain)) for domain in adapters.BY_DOMAIN
+    ])
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query

@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import RAW_TABLES
+from ..session import side_by_side
 
 #: Folder name of rows without a value, as Spark writes it.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -143,6 +145,8 @@ class Warehouse:
                     files.delete(entry.getPath(), True)
 
     def load(self, domain: str, tables: dict[str, DataFrame]) -> None:
-        """Load every raw table of a domain, in its declared order, replacing what was there."""
-        for table, schema in RAW_TABLES[domain].items():
-            self.replace(f"raw_{domain}", table, tables[table].select(*schema.names))
+        """Load every raw table of a domain, side by side, replacing what was there."""
+        side_by_side([
+            partial(self.replace, f"raw_{domain}", table, tables[table].select(*schema.names))
+            for table, schema in RAW_TABLES[domain].items()
+        ])

@@ -1,5 +1,6 @@
 import json
 import shutil
+import threading
 from datetime import datetime
 
 import pytest
@@ -9,6 +10,7 @@ from test_sources import event
 from tallymart import schemas
 from tallymart.operators import staging
 from tallymart.plans import refresh
+from tallymart.session import side_by_side
 from tallymart.sources import events
 from tallymart.streaming.ingest import ingest, messages_processed, read_log, read_quarantine
 
@@ -85,6 +87,35 @@ def test_refresh_reports_rows_and_checks(store, logs):
     assert store.spark.table("stg_llm_logs").count() == 2
 
 
+def test_marts_of_a_refresh_are_written_side_by_side(store, logs, monkeypatch):
+    """Every write waits for the other three, so one after the other would never get past the first."""
+    meet, write = threading.Barrier(4), refresh.write_mart
+
+    def together(*arguments):
+        meet.wait(timeout=60)
+        return write(*arguments)
+
+    monkeypatch.setattr(refresh, "write_mart", together)
+    report = refresh.refresh(store, "requests", {"llm_logs_kafka": logs({}, {"user_id": "u2"})}, load=False)
+    rows = {r.relation: r.value for r in report.collect() if r.measure == "rows"}
+    assert rows == {
+        "llm_logs_kafka": 2, "mart_cost_per_user": 2, "mart_hourly_activity": 1, "mart_latency_analysis": 1, "mart_model_comparison": 1,
+    }
+
+
+def test_steps_side_by_side_keep_their_order_and_all_end_before_a_failure(spark):
+    assert side_by_side([]) == []
+    assert side_by_side([lambda n=n: spark.range(n).count() for n in (3, 1, 2)]) == [3, 1, 2]
+    ended = []
+
+    def fails():
+        raise ValueError("lost")
+
+    with pytest.raises(ValueError, match="lost"):
+        side_by_side([fails, lambda: ended.append(spark.range(5).count())])
+    assert ended == [5]
+
+
 def test_strict_refresh_raises_after_writing_the_marts(store, logs):
     with pytest.raises(refresh.QualityError, match="stg_llm_logs.user_id not_null: 1"):
         refresh.refresh(store, "requests", {"llm_logs_kafka": logs({"user_id": None})}, strict=True)

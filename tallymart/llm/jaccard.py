@@ -50,6 +50,8 @@ LIST_ROWS = 20_000
 GROUP_TOKENS = 2_000_000
 #: Occurrences of shingles that are brought together at once to see which ones several sets share.
 PART_TOKENS = 600_000
+#: Shingles of one set that a run has at the most: its length travels as one byte, and a longer run as several.
+RUN_TOKENS = 255
 #: Counts of sets that are added up in one call.
 BUCKET_COUNTS = 2_000_000
 #: Shingles whose order is worked out at once.
@@ -227,6 +229,8 @@ def _by_part(token: np.ndarray, owner: np.ndarray, marks: np.ndarray, parts: int
     order, mark_order = np.lexsort((owner, part)), np.argsort(mark_part, kind="stable")
     token, owner, part = token[order], owner[order], part[order]
     runs = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])])) if len(token) else np.zeros(0, int)
+    inside = np.arange(len(token)) - np.repeat(runs, np.diff(np.append(runs, len(token))))
+    runs = np.flatnonzero(inside % RUN_TOKENS == 0)
     every = np.unique(np.concatenate([part, mark_part]))
 
     def cut(values: np.ndarray) -> np.ndarray:
@@ -235,7 +239,7 @@ def _by_part(token: np.ndarray, owner: np.ndarray, marks: np.ndarray, parts: int
     return pa.RecordBatch.from_arrays([
         pa.array(_signed(every)), _binary(token.astype(np.uint32), cut(part)),
         _binary(marks[mark_order].astype(np.uint32), cut(mark_part[mark_order])),
-        _binary(owner[runs], cut(part[runs])), _binary(np.diff(np.append(runs, len(token))).astype(np.uint32), cut(part[runs])),
+        _binary(owner[runs], cut(part[runs])), _binary(np.diff(np.append(runs, len(token))).astype(np.uint8), cut(part[runs])),
     ], [name.split()[0] for name in _OCCURRENCES.split(", ")])
 
 
@@ -264,7 +268,7 @@ def _count_shared(buckets: int) -> Callable:
         if group.column("part")[0].as_py() >= 0:
             token, marks = _joined(group.column("tokens"), np.uint32), _joined(group.column("marks"), np.uint32)
             entity, place = np.unique(_joined(group.column("entities"), np.uint64), return_inverse=True)
-            owner = np.repeat(place.astype(np.int32), _joined(group.column("counts"), np.uint32))
+            owner = np.repeat(place.astype(np.int32), _joined(group.column("counts"), np.uint8))
             order = np.argsort(token, kind="stable")
             token, owner = token[order], owner[order]
             del order, place
@@ -291,7 +295,8 @@ def shared_shingles(docs: DataFrame, shingles: int, sets: int) -> DataFrame:
 
     ``shingles`` and ``sets`` are the numbers in all ``docs``; they decide how finely work is cut. A part sends one count for
     each of its sets, so there are at most ``sets`` times parts of them, and no more than shingles.
-    Shingles travel as packed halves of hashes, so that a set costs little more than four bytes a shingle.
+    Shingles travel as packed halves of hashes, four bytes each, and nine bytes for each run of a set's shingles in one part;
+    the more parts there are, the shorter the runs, down to one shingle.
     """
     parts = shingles // PART_TOKENS + 1
     buckets = min(sets * parts, shingles) // BUCKET_COUNTS + 1

@@ -186,3 +186,21 @@ def test_pipeline_is_its_stages_by_brute_force(spark, tmp_path):
         slots[r.shard].append(r.slot)
         assert r.grown_shard in (r.shard, 8) and zlib.crc32((r.text or "").encode()) == zlib.crc32((docs[r.doc_id].text or "").encode())
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_a_run_of_shingles_costs_nine_bytes_however_long_the_text(spark, monkeypatch):
+    """Lengths of runs are single bytes, longer runs are cut, and no shared shingle is lost in that."""
+    token = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 700, dtype=np.uint64))
+    owner = np.repeat(np.array([5, 9], np.uint64), [600, 100])
+    sent = jaccard._by_part(token, owner, token[:0], 1).to_pydict()
+    assert list(sent["counts"][0]) == [255, 255, 90, 100]
+    assert np.frombuffer(sent["entities"][0], np.uint64).tolist() == [5, 5, 5, 9]
+    spread = jaccard._by_part(token, owner, token[:0], 50).to_pydict()
+    runs = sum(len(x) for x in spread["counts"])
+    assert sum(len(x) for x in spread["entities"]) == 8 * runs and sum(sum(x) for x in spread["counts"]) == 700
+
+    words = [f"w{i}" for i in range(900)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:880] + ["x"] * 30)), (3, " ".join(f"v{i}" for i in range(900)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(r.shared for r in jaccard.shared_shingles(docs, 3000, 3).collect())
+    assert found == [876, 876]

@@ -551,19 +551,41 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
 
 
+def _to_settle(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, stays): documents of which rows go: ``stays`` if one of several rows is left, else none is.
+
+    A document that is one row and the first of its component, or without words, is not listed.
+    """
+    key = ["doc_id", "text_hash"]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key)).alias("k")
+    kept = found.where("root is not null").groupBy("root").agg(first).select("k.doc_id", "k.text_hash").unionByName(
+        found.where("root is null").select(*key)
+    )
+    every = found.select(*key, F.lit(1).alias("n"), F.lit(False).alias("stays")).unionByName(
+        kept.select(*key, F.lit(0).alias("n"), F.lit(True).alias("stays"))
+    )
+    return every.groupBy(*key).agg(F.sum("n").alias("n"), F.max("stays").alias("stays")).where("not stays or n > 1").drop("n")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest id of each component; columns as in ``docs``, whatever their names.
 
     Rows with equal id and text are one document, of which one row stays, also where other columns differ.
     Documents without words are kept. A null id counts as larger than any other.
+
+    Whole rows meet the keys of what goes, not of what stays: these are fewer, and while they are few the rows stay where they
+    are read. Only rows that repeat a document are brought together.
     """
-    found = stored(near_copies(docs).select("doc_id", "text_hash", "root"), "near-copies")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("k")
-    kept = found.where("root is not null").groupBy("root").agg(first).select("k.doc_id", "k.text_hash").unionByName(
-        found.where("root is null").select("doc_id", "text_hash")
-    )
-    keyed = as_rows(docs, "doc_id", F.xxhash64("text").alias("text_hash"))
-    return keyed.alias("d").join(kept.alias("k"), same("d", "k", ["doc_id", "text_hash"]), "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
+    key = ["doc_id", "text_hash"]
+    found = stored(near_copies(docs).select(*key, "root"), "near-copies")
+    settle = stored(_to_settle(found), "to-settle")
+    rows = as_rows(docs, "doc_id", F.xxhash64("text").alias("text_hash")).alias("d")
+    kept = rows.join(_small(settle).alias("k"), same("d", "k", key), "left_anti")
+    repeated = settle.where("stays")
+    if not repeated.isEmpty():
+        again = rows.join(_small(repeated).alias("k"), same("d", "k", key), "left_semi")
+        kept = kept.unionByName(again.dropDuplicates(key))
+    return kept.select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from conftest import SMALL
+from conftest import SMALL, plan
 from tallymart.llm import decontamination, jaccard, mixing, quality, recompression, sharding, suffixdedup, tokencount, urlfilter
 from test_operators import brute_bytes, brute_jaccard, brute_words, fixture_rows, frame, got
 
@@ -204,3 +204,39 @@ def test_a_run_of_shingles_costs_nine_bytes_however_long_the_text(spark, monkeyp
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = sorted(r.shared for r in jaccard.shared_shingles(docs, 3000, 3).collect())
     assert found == [876, 876]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_whole_rows_are_shuffled_once_at_the_most_to_keep_one_of_each(spark, monkeypatch, few):
+    """Few keys go to the rows; many meet them in one shuffle. Rows of one document come together, no other rows do."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 500_000 if few else -1)
+    try:
+        rows = [r for r in fixture_rows(14) if r[0] != 61] + [(63, "ONE two", "t")]
+        one = jaccard.one_of_each(frame(spark, rows))
+        assert plan(one).split("Physical Plan")[1].count("Exchange hashpartitioning") == (0 if few else 2)  # the keys are dealt too
+        component = {i: c for i, _, c in brute_jaccard(rows)}
+        assert sorted(r.doc_id or 0 for r in one.collect()) == sorted(i or 0 for i in component if i is None or i == component[i])
+
+        # equal id and text: one row, whichever; equal id alone: by their texts; a null id is last, and repeats as any other
+        rows += [(7, "one two", "x"), (4, "one two", "x"), (4, "one two", "y"), (2, "", "x"), (2, None, "x"), (2, None, "y"), (64, rows[14][1], "x")]
+        rows += [(64, "some other words", "x"), (None, "alone and without id", "x"), (None, "alone and without id", "y"), (None, "ONE two", "z")]
+        left = jaccard.one_of_each(frame(spark, rows)).collect()
+        assert {(r.doc_id, r.text, r.source) for r in left} <= set(rows)
+        pairs = brute_in_places(rows)
+        assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted(pairs, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def brute_in_places(rows):
+    """(id, text) of what is left: each wordless one, and the smallest id of each group of linked texts."""
+    texts = sorted({t for _, t, _ in rows if t and t.split()})
+    group = {texts[i]: c for i, _, c in brute_jaccard([(i, t, "") for i, t in enumerate(texts)])}
+    first = {}
+    for i, t, _ in rows:
+        if t in group:
+            key = (i is None, i or 0)
+            if key <= first.get(group[t], (key, t))[0]:
+                first[group[t]] = (key, t)
+    return {(i, t) for i, t, _ in rows if t not in group} | {(None if k[0] else k[1], t) for k, t in first.values()}

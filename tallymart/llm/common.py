@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs inside send Python batches of about ``most`` bytes, unless the session has a bound of its own.
+
+    The bound of Spark's rows alone lets a batch of texts grow to tens of megabytes, which each task holds on both sides.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def as_rows(df: DataFrame, *keys) -> DataFrame:
     """Each row as one struct ``row`` beside the keys, so that no name of the caller's meets one of ours."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *keys)

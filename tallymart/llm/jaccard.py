@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import as_rows, same, stored
+from .common import arrow_batches, as_rows, same, stored
 from .components import components
 from .flat import chunks, grams, lower_ascii, places, scramble, word_bounds, word_hashes
 
@@ -59,6 +59,8 @@ SLICE_TOKENS = 250_000
 #: Shingles and sets that a task remembers while it counts shared shingles.
 REMEMBERED = 1 << 19
 REMEMBERED_SETS = 1 << 17
+#: Bytes of texts or sets that a task gets at once; what is found does not depend on it.
+BATCH_BYTES = 1 << 22
 #: Candidate sets whose keys are broadcast to fetch their texts; more are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -510,6 +512,11 @@ def verified_links(sets: DataFrame, placed: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id and root, the component's own key (null without words)."""
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _near_copies(docs)
+
+
+def _near_copies(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     described = stored(

@@ -6,10 +6,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL, plan
 from tallymart.llm import decontamination, jaccard, mixing, quality, recompression, sharding, suffixdedup, tokencount, urlfilter
+from tallymart.llm.common import arrow_batches
 from test_operators import brute_bytes, brute_jaccard, brute_words, fixture_rows, frame, got
 
 ITEMS = "item_id long, text string, words int, t int"
@@ -240,3 +242,27 @@ def brute_in_places(rows):
             if key <= first.get(group[t], (key, t))[0]:
                 first[group[t]] = (key, t)
     return {(i, t) for i, t, _ in rows if t not in group} | {(None if k[0] else k[1], t) for k, t in first.values()}
+
+
+def test_a_task_of_the_near_copies_gets_texts_in_small_batches(spark, monkeypatch):
+    """Also where rows are long; what the session has set is as before afterwards, and a bound of its own stands."""
+    key, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", spark.sparkContext.accumulator(0)
+    texts = spark.range(0, 1200, 1, 1).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 1500), i -> concat(id, 'w', i))) AS text")
+    describe = jaccard._describe
+
+    def watched(batches):
+        for batch in batches:
+            sizes.add(batch.nbytes > 2 * jaccard.BATCH_BYTES)
+            yield from describe(iter([batch]))
+
+    monkeypatch.setattr(jaccard, "_describe", watched)
+    assert texts.agg(F.sum(F.octet_length("text"))).first()[0] > 2 * jaccard.BATCH_BYTES
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.digest(texts).collect()} == {(i, 1496, i) for i in range(1200)}
+    assert sizes.value == 0 and spark.conf.get(key, None) is None
+    try:
+        spark.conf.set(key, 1 << 20)
+        with arrow_batches(spark, 1 << 22):
+            assert spark.conf.get(key) == str(1 << 20)
+        assert spark.conf.get(key) == str(1 << 20)
+    finally:
+        spark.conf.unset(key)
